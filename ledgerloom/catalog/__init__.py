@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-THEMES = ("shaping",)
+THEMES = ("shaping", "linking", "merging", "coding", "auditing")
 
 
 def all_entries():

@@ -89,6 +89,29 @@ def attribute(
     return joined.filter("_found").drop("_found")
 
 
+def all_counterparts(
+    df: DataFrame,
+    pairs: DataFrame,
+    left: str,
+    right: str,
+    value: str,
+    name: str,
+    keep_unmatched: bool = False,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Join to a map that may hold several values per key: one row per value.
+
+    The values of a key are gathered first (they are the distinct codes of one
+    entity, a handful), so that `df` meets each key once.
+    """
+    gathered = pairs.groupBy(right).agg(F.sort_array(F.collect_set(value)).alias("_values"))
+    joined = lookup_join(
+        df, gathered, join_key(left), join_key(right), {"_values": F.col("_values")}, hot_rows=hot_rows
+    )
+    spread = F.explode_outer if keep_unmatched else F.explode
+    return joined.select(*df.columns, spread("_values").alias(name))
+
+
 def update_matched(
     table: DataFrame,
     source: DataFrame | Stored,

@@ -15,6 +15,8 @@ from ledgerloom.session import Stored, store
 
 def _one_per_key(df: DataFrame, key: list[str], order: list[str | Column], last: bool) -> DataFrame:
     rest = [c for c in df.columns if c not in key]
+    if not rest:
+        return df.distinct()
     ranked = F.struct(
         *[(F.col(c) if isinstance(c, str) else c).alias(f"_o{i}") for i, c in enumerate(order)],
         F.struct(*[F.col(c) for c in rest]).alias("_row_values"),
@@ -44,6 +46,12 @@ def _no_null(key: list[str]) -> Column:
     return test
 
 
+def unique_rows(batch: DataFrame, key: list[str], order: list[str | Column]) -> DataFrame:
+    """The first row per unique key of a batch; rows with a NULL in the key are all kept."""
+    whole = _no_null(key)
+    return first_by(batch.filter(whole), key, order).unionByName(batch.filter(~whole))
+
+
 def new_rows(table: DataFrame, batch: DataFrame, key: list[str], order: list[str | Column]) -> DataFrame:
     """Rows of `batch` that insert-if-absent would add to `table`."""
     whole = _no_null(key)
@@ -152,12 +160,17 @@ def precedence_merge(
     code and an ordered join of the remaining notes, not a pass over the
     group's rows in one place.
     """
+    types = {f.name: f.dataType for r in reversed(registers) for f in r.df.schema.fields}
+
+    def cell(r: Register, c: str) -> Column:
+        value = F.col(c) if c in r.df.columns else F.lit(None)
+        return value.cast(types.get(c, "string")).alias(c)
+
     tagged = union_all(
         [
             r.df.select(
                 key,
-                *[(F.col(c) if c in r.df.columns else F.lit(None).cast("string")).alias(c) for c in columns],
-                (F.col(note) if note in r.df.columns else F.lit(None).cast("string")).alias(note),
+                *[cell(r, c) for c in [*columns, note]],
                 F.struct(
                     F.lit(prio).alias("prio"),
                     (F.col(r.order[0]).cast("long") if r.order else F.lit(0).cast("long")).alias("row"),
