@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-THEMES = ("shaping", "linking", "merging", "coding", "auditing")
+THEMES = ("shaping", "linking", "merging", "coding", "auditing", "resolution")
 
 
 def all_entries():

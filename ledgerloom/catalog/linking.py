@@ -90,7 +90,7 @@ def pair_resolve(spark, d):
 def anti_join_new(spark, d):
     t = Tables(spark, d)
     orders = t("orders", "o_orderkey", "o_custkey").filter(predicates.has_key("o_custkey"))
-    return joins.missing_from(orders, t("lineitem", "l_orderkey"), {"o_orderkey": "l_orderkey"})
+    return joins.missing_from(orders, t("lineitem", "l_orderkey"), {"o_orderkey": "l_orderkey"}, unique_left=True)
 
 
 @query(
@@ -220,7 +220,7 @@ def splice_text(spark, d):
     piece = F.concat("l_returnflag", "l_partkey", F.lit(" ("), "agent", F.lit(")"))
     texts = join_text(coded, "l_orderkey", piece, [piece], "; ", "pieces")
     orders = t("orders", "o_orderkey", "o_custkey")
-    return joins.splice(orders, texts, {"o_orderkey": "l_orderkey"}, {"all_collectors": "pieces"})
+    return joins.splice(orders, texts, ("o_orderkey", "l_orderkey"), {"all_collectors": "pieces"})
 
 
 @query(

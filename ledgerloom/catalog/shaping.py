@@ -416,7 +416,7 @@ def parse_english_date(spark, d):
         .otherwise(F.concat(dom, F.lit("th "), month, F.lit(" "), year))
         .alias("t"),
     )
-    return s.select("o_orderkey", dates.english_date("t").alias("iso"), dates.english_date_reject("t").alias("reject"))
+    return dates.add_english_date(s, "t", "iso", "reject").drop("t")
 
 
 @query(
@@ -454,15 +454,15 @@ def partial_dates(spark, d):
         dates.year_to_partial(text.null_after("y", dates.NO_DATE)).alias("year_date"),
         dates.fuzzy_slashed("fuzzy").alias("day_date"),
     )
-    bounds, years = dates.partial_date("day_date"), dates.partial_date("year_date")
-    return parsed.select(
+    spans = dates.add_partial_date(dates.add_partial_date(parsed, "day_date", "d"), "year_date", "y")
+    return spans.select(
         "o_orderkey",
         "year_date",
         "day_date",
-        bounds["precision"].alias("precision"),
-        bounds["first"].cast("string").alias("first_day"),
-        bounds["last"].cast("string").alias("last_day"),
-        years["last"].cast("string").alias("year_end"),
+        F.col("d.precision").alias("precision"),
+        F.col("d.first").cast("string").alias("first_day"),
+        F.col("d.last").cast("string").alias("last_day"),
+        F.col("y.last").cast("string").alias("year_end"),
     )
 
 

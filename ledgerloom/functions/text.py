@@ -186,9 +186,10 @@ def agents_with_roles(df: DataFrame, c: str, keep: list[str], code: str, role: s
     """
     pattern = "(?U)" + AGENT_WITH_ROLE
     items = df.select(*keep, F.explode(F.split(F.col(c), ",")).alias("_item"))
-    hit = F.col("_item").rlike(pattern)
-    return items.select(
+    found = items.withColumns({f"_{i}": F.regexp_extract("_item", pattern, i) for i in (1, 2)})
+    hit = F.col("_1") != ""
+    return found.select(
         *keep,
-        F.when(hit, F.regexp_extract("_item", pattern, 1)).otherwise(F.trim("_item")).alias(code),
-        F.when(hit, F.regexp_extract("_item", pattern, 2)).alias(role),
+        F.when(hit, F.col("_1")).otherwise(F.trim("_item")).alias(code),
+        F.when(hit, F.col("_2")).alias(role),
     )

@@ -53,11 +53,17 @@ def resolve_pair(
 
 
 def missing_from(
-    df: DataFrame, other: DataFrame | Stored, on: dict[str, str], null_safe: bool = False, hot_rows: int = HOT_ROWS
+    df: DataFrame,
+    other: DataFrame | Stored,
+    on: dict[str, str],
+    null_safe: bool = False,
+    hot_rows: int = HOT_ROWS,
+    unique_left: bool = False,
 ) -> DataFrame:
     """Rows of `df` without a counterpart; `on` is {column of df: column of other}.
 
-    A row whose key is NULL has no counterpart, unless `null_safe`.
+    A row whose key is NULL has no counterpart, unless `null_safe`.  Say
+    `unique_left` where the columns are a key of `df`.
     """
     other_df = other.df if isinstance(other, Stored) else other
     keys = other_df.select(join_key(*on.values(), null_safe=null_safe).alias("_other")).distinct()
@@ -70,6 +76,7 @@ def missing_from(
         {},
         matched="_found",
         hot_rows=hot_rows,
+        unique_left=unique_left,
     )
     return probed.filter(~F.col("_found")).drop("_found")
 
@@ -137,13 +144,19 @@ def update_matched(
     )
 
 
-def splice(
-    table: DataFrame, texts: DataFrame | Stored, on: dict[str, str], columns: dict[str, str], hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Bring aggregated columns into a table; `texts` holds each key once."""
-    values = {n: F.col(c) for n, c in columns.items()}
-    joined = lookup_join(table, texts, join_key(*on), join_key(*on.values()), values, hot_rows=hot_rows)
-    return joined.select(*[c for c in table.columns if c not in columns], *columns)
+def splice(table: DataFrame, texts: DataFrame | Stored, on: tuple[str, str], columns: dict[str, str]) -> DataFrame:
+    """Bring aggregated columns into a table by its primary key.
+
+    `on` is (key of table, key of texts); both sides are unique by it, so a plain
+    join does, and it reuses the partitioning the aggregate left behind.
+    """
+    side = texts.df if isinstance(texts, Stored) else texts
+    side = side.select(F.col(on[1]).alias("_key"), *[F.col(c).alias(f"_s_{n}") for n, c in columns.items()])
+    if isinstance(texts, Stored) and texts.fits_broadcast:
+        side = F.broadcast(side)
+    joined = table.join(side, F.col(on[0]) == F.col("_key"), "left")
+    kept = [c for c in table.columns if c not in columns]
+    return joined.select(*kept, *[F.col(f"_s_{n}").alias(n) for n in columns])
 
 
 def personal_links(links: DataFrame, clients: DataFrame | Stored, key: str, firm_flag: str) -> DataFrame:

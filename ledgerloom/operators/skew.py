@@ -51,6 +51,8 @@ def lookup_join(
     values: dict[str, Column],
     matched: str | None = None,
     hot_rows: int = HOT_ROWS,
+    hot: DataFrame | None = None,
+    unique_left: bool = False,
 ) -> DataFrame:
     """Left join to a side holding each key at most once; adds `values`.
 
@@ -58,6 +60,8 @@ def lookup_join(
     without moving `left`.  Otherwise `left` is shuffled by key, with two
     exceptions: rows of hot keys get their values from a bounded broadcast, and
     rows that need no partner (hot or NULL key) travel under a spread-out key.
+    `hot` saves counting when the hot keys are known from elsewhere, and
+    `unique_left` (the key is a primary key of `left`) makes it a plain join.
     `matched` names a boolean column telling whether a partner was found.
     """
     names = list(values)
@@ -68,12 +72,13 @@ def lookup_join(
     ).filter(F.col("_rkey").isNotNull())
     own = list(left.columns)
 
-    if known_small:
-        joined = left.join(F.broadcast(side), left_key == F.col("_rkey"), "left")
+    if known_small or unique_left:
+        joined = left.join(F.broadcast(side) if known_small else side, left_key == F.col("_rkey"), "left")
         out = [F.col(f"_v{i}").alias(n) for i, n in enumerate(names)]
         found = F.col("_rkey").isNotNull()
     else:
-        hot = hot_keys(left, left_key, hot_rows)
+        if hot is None:
+            hot = hot_keys(left, left_key, hot_rows)
         hot_side = side.join(F.broadcast(hot), F.col("_rkey") == F.col("_hot"), "left_semi")
         hot_side = hot_side.select(
             F.col("_rkey").alias("_hkey"), *[F.col(f"_v{i}").alias(f"_h{i}") for i in range(len(names))]
@@ -123,6 +128,7 @@ def join_text(
     sep: str,
     name: str,
     hot_rows: int = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """One text per key: pieces joined in `order`, NULL pieces left out.
 
@@ -135,23 +141,24 @@ def join_text(
     pieces = df.select(
         F.col(key), text.cast("string").alias("_piece"), *[c.alias(o) for c, o in zip(order, ords)]
     )
-    literal = "'" + sep.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    def concat_in(order_by: str) -> Column:
-        return F.expr(f"listagg(_piece, {literal}) within group (order by {order_by})")
+    def in_order(*by: str) -> Column:
+        item = F.when(F.col("_piece").isNotNull(), F.struct(*by, "_piece"))
+        sorted_items = F.sort_array(F.collect_list(item))
+        return F.when(F.size(sorted_items) > 0, F.array_join(sorted_items["_piece"], sep))
 
-    hot = hot_keys(pieces, F.col(key), hot_rows)
+    if hot is None:
+        hot = hot_keys(pieces, F.col(key), hot_rows)
     on_hot = F.col(key) == F.col("_hot")
-    cold_rows = pieces.join(F.broadcast(hot), on_hot, "left_anti")
-    hot_rows_df = pieces.join(F.broadcast(hot), on_hot, "left_semi")
-    cold = cold_rows.groupBy(key).agg(concat_in(", ".join(ords)).alias(name))
+    cold = pieces.join(F.broadcast(hot), on_hot, "left_anti").groupBy(key).agg(in_order(*ords).alias(name))
     stretches = (
-        hot_rows_df.orderBy(key, *ords)
+        pieces.join(F.broadcast(hot), on_hot, "left_semi")
+        .orderBy(key, *ords)
         .withColumn("_part", F.spark_partition_id())
         .groupBy(key, "_part")
-        .agg(concat_in(", ".join(ords)).alias("_piece"))
+        .agg(in_order(*ords).alias("_piece"))
     )
-    return cold.unionByName(stretches.groupBy(key).agg(concat_in("_part").alias(name)))
+    return cold.unionByName(stretches.groupBy(key).agg(in_order("_part").alias(name)))
 
 
 def union_all(frames: list[DataFrame], allow_missing: bool = False) -> DataFrame:

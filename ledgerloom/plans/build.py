@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.dates import partial_date
+from ledgerloom.functions.dates import add_partial_date
 from ledgerloom.operators.audit import audit_table, dangling
 from ledgerloom.operators.codes import append_with_codes
 from ledgerloom.operators.skew import union_all
@@ -47,7 +47,9 @@ def all_rejects(result: JobResult) -> DataFrame:
 
 def with_date_parts(df: DataFrame, *columns: str) -> DataFrame:
     """Add `<column>_parts`: year, month, day, precision and the span of a partial date."""
-    return df.withColumns({f"{c}_parts": partial_date(c) for c in columns})
+    for c in columns:
+        df = add_partial_date(df, c, f"{c}_parts")
+    return df
 
 
 def append_coded(tables: dict[str, DataFrame], table: str, batch: DataFrame, order_by: list[str | Column]) -> DataFrame:

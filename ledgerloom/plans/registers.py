@@ -111,12 +111,12 @@ def ledgers(src: Sources) -> JobResult:
     )
 
     clients = copy_positional(src["clients"], schema("stn_client"))
-    result.tables["stn_client"] = fill(
-        "stn_client", clients.withColumns({c: dates.english_date(c) for c in ("first_date", "last_date")})
-    )
-    result.rejects["client dates"] = dates.reject_counts(
-        union_all([clients.select(F.col(c).alias("cell")) for c in ("first_date", "last_date")]),
-        dates.english_date_reject("cell"),
+    dated = clients
+    for column in ("first_date", "last_date"):
+        dated = dates.add_english_date(dated, column, column)
+    result.tables["stn_client"] = fill("stn_client", dated)
+    result.rejects["client dates"] = dates.english_date_rejects(
+        union_all([clients.select(F.col(c).alias("cell")) for c in ("first_date", "last_date")]), "cell"
     )
     return result
 
