@@ -7,7 +7,7 @@ from ledgerloom.functions import predicates, text
 from ledgerloom.operators import aggregates, joins
 from ledgerloom.operators.crosswalk import one_to_one, recode
 from ledgerloom.operators.merge import first_by
-from ledgerloom.operators.skew import join_key, join_text, lookup_join
+from ledgerloom.operators.skew import hot_keys, join_key, join_text, lookup_join
 from ledgerloom.session import store
 from ledgerloom.sources.tables import lookup
 
@@ -90,7 +90,7 @@ def pair_resolve(spark, d):
 def anti_join_new(spark, d):
     t = Tables(spark, d)
     orders = t("orders", "o_orderkey", "o_custkey").filter(predicates.has_key("o_custkey"))
-    return joins.missing_from(orders, t("lineitem", "l_orderkey"), {"o_orderkey": "l_orderkey"}, unique_left=True)
+    return joins.missing_from(orders, t("lineitem", "l_orderkey"), {"o_orderkey": "l_orderkey"}, hot=None)
 
 
 @query(
@@ -218,7 +218,8 @@ def splice_text(spark, d):
     lines = t("lineitem", "l_orderkey", "l_suppkey", "l_partkey", "l_returnflag")
     coded = lookup_join(lines, agents, join_key("l_suppkey"), join_key("s_suppkey"), {"agent": F.col("agent")})
     piece = F.concat("l_returnflag", "l_partkey", F.lit(" ("), "agent", F.lit(")"))
-    texts = join_text(coded, "l_orderkey", piece, [piece], "; ", "pieces")
+    hot = hot_keys(lines, F.col("l_orderkey"))
+    texts = join_text(coded, "l_orderkey", piece, [piece], "; ", "pieces", hot=hot)
     orders = t("orders", "o_orderkey", "o_custkey")
     return joins.splice(orders, texts, ("o_orderkey", "l_orderkey"), {"all_collectors": "pieces"})
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.predicates import is_not_true, is_true
-from ledgerloom.operators.skew import HOT_ROWS, join_key, lookup_join
+from ledgerloom.operators.skew import FIND, HOT_ROWS, join_key, lookup_join
 from ledgerloom.session import Stored
 
 
@@ -58,12 +58,12 @@ def missing_from(
     on: dict[str, str],
     null_safe: bool = False,
     hot_rows: int = HOT_ROWS,
-    unique_left: bool = False,
+    hot: DataFrame | None | str = FIND,
 ) -> DataFrame:
     """Rows of `df` without a counterpart; `on` is {column of df: column of other}.
 
-    A row whose key is NULL has no counterpart, unless `null_safe`.  Say
-    `unique_left` where the columns are a key of `df`.
+    A row whose key is NULL has no counterpart, unless `null_safe`.  Pass
+    ``hot=None`` where the columns are a key of `df`.
     """
     other_df = other.df if isinstance(other, Stored) else other
     keys = other_df.select(join_key(*on.values(), null_safe=null_safe).alias("_other")).distinct()
@@ -76,7 +76,7 @@ def missing_from(
         {},
         matched="_found",
         hot_rows=hot_rows,
-        unique_left=unique_left,
+        hot=hot,
     )
     return probed.filter(~F.col("_found")).drop("_found")
 

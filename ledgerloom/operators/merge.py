@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.joins import missing_from, splice
 from ledgerloom.operators.shape import conform
-from ledgerloom.operators.skew import HOT_ROWS, join_key, join_text, lookup_join, present_keys, union_all
+from ledgerloom.operators.skew import HOT_ROWS, join_key, join_text, lookup_join, present_keys, some_keys, union_all
 from ledgerloom.session import Stored, store
 
 
@@ -198,17 +198,17 @@ def precedence_merge(
     )
     written = store(heads, "merged")
     several = Stored(written.df.filter("_n > 1"), written.rows, written.bytes)
-    hot = written.df.filter(F.col("_n") >= hot_rows)
+    hot = some_keys(written.df.filter(F.col("_n") >= hot_rows).select(F.col(key).alias("_hot")))
     bounds = {"_f": F.col("_first_ord"), "_e": F.col("_empty_ord")}
     notes = lookup_join(
-        tagged, several, join_key(key), join_key(key), bounds, "_several", hot=hot.select(join_key(key).alias("_hot"))
+        tagged, several, join_key(key), join_key(key), bounds, "_several", hot=hot
     )
     notes = notes.filter(F.col("_several") & F.col(note).isNotNull())
     if not keep_notes:
         notes = notes.filter(F.col("_e").isNull() | (F.col("_e") == F.col("_f")) | (F.col("_ord") > F.col("_e")))
     piece = F.when(F.col("_ord") == F.col("_f"), F.col(note)).otherwise(F.concat("_label", note))
     order = [F.col("_ord"), F.col(note)]
-    texts = join_text(notes, key, piece, order, "", "_text", hot=hot.select(F.col(key).alias("_hot")))
+    texts = join_text(notes, key, piece, order, "", "_text", hot=hot)
     merged = splice(written.df, texts, (key, key), {"_text": "_text"})
     result = F.when(F.col("_n") == 1, F.col("_first_note"))
     if not keep_notes:

@@ -16,31 +16,39 @@ from ledgerloom.session import Stored
 
 HOT_ROWS = 1_000_000
 SPREAD = 4096
+FIND = "find"
 
 
 def join_key(*columns: Column | str, null_safe: bool = False) -> Column:
-    """One text key out of one or more columns.
+    """One join key out of one or more columns; a single column stays as it is.
 
     NULL in any part gives NULL (never equal), unless `null_safe`, where NULL is
-    a value of its own.  Every part is length-prefixed, so parts cannot run into
-    each other.
+    a value of its own.  Several parts become one text, each prefixed with its
+    length, so that they cannot run into each other.
     """
+    given = [F.col(c) if isinstance(c, str) else c for c in columns]
+    if len(given) == 1 and not null_safe:
+        return given[0]
     parts = []
-    for column in columns:
-        text = (F.col(column) if isinstance(column, str) else column).cast("string")
+    for column in given:
+        text = column.cast("string")
         part = F.concat(F.char_length(text).cast("string"), F.lit(":"), text)
         parts.append(F.coalesce(part, F.lit("~")) if null_safe else part)
-    return parts[0] if len(parts) == 1 else F.concat(*parts)
+    return F.concat(*parts)
 
 
-def hot_keys(df: DataFrame, key: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys (column `_hot`) carried by at least `hot_rows` rows of `df`.
+def hot_keys(df: DataFrame, key: Column, hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Keys (column `_hot`, possibly NULL) carried by at least `hot_rows` rows, or None where there are none.
 
-    Counts are combined on the map side, so the hot keys themselves cost one
-    record per task in the shuffle.
+    Runs one counting pass over the key column.  Counts are combined on the map
+    side, so a hot key costs one record per task in the shuffle.
     """
-    counts = df.select(key.alias("_hot")).filter(F.col("_hot").isNotNull()).groupBy("_hot").count()
-    return counts.filter(F.col("count") >= hot_rows).select("_hot")
+    counts = df.select(key.alias("_hot")).groupBy("_hot").count()
+    return some_keys(counts.filter(F.col("count") >= hot_rows).select("_hot"))
+
+
+def some_keys(keys: DataFrame) -> DataFrame | None:
+    return None if keys.isEmpty() else keys
 
 
 def lookup_join(
@@ -51,34 +59,35 @@ def lookup_join(
     values: dict[str, Column],
     matched: str | None = None,
     hot_rows: int = HOT_ROWS,
-    hot: DataFrame | None = None,
-    unique_left: bool = False,
+    hot: DataFrame | None | str = FIND,
 ) -> DataFrame:
     """Left join to a side holding each key at most once; adds `values`.
 
-    `right` as a `Stored` table small enough for a broadcast is joined in place
-    without moving `left`.  Otherwise `left` is shuffled by key, with two
-    exceptions: rows of hot keys get their values from a bounded broadcast, and
-    rows that need no partner (hot or NULL key) travel under a spread-out key.
-    `hot` saves counting when the hot keys are known from elsewhere, and
-    `unique_left` (the key is a primary key of `left`) makes it a plain join.
-    `matched` names a boolean column telling whether a partner was found.
+    A `Stored` side small enough for a broadcast is joined in place, without
+    moving `left`.  Otherwise both are shuffled by key, a plain join as long as
+    `left` has no hot key.  Rows of hot keys get their values from a broadcast of
+    bounded size instead, and like rows with a NULL key they travel under a
+    spread-out key, since they need no partner.
+
+    `hot` saves the counting pass where the hot keys are known from elsewhere:
+    None says there are none, as for a primary key of `left`.  `matched` names a
+    boolean column telling whether a partner was found.
     """
     names = list(values)
-    known_small = isinstance(right, Stored) and right.fits_broadcast
+    small = isinstance(right, Stored) and right.fits_broadcast
     right_df = right.df if isinstance(right, Stored) else right
     side = right_df.select(
         right_key.alias("_rkey"), *[c.alias(f"_v{i}") for i, c in enumerate(values.values())]
     ).filter(F.col("_rkey").isNotNull())
     own = list(left.columns)
+    if not small and isinstance(hot, str):
+        hot = hot_keys(left, left_key, hot_rows)
 
-    if known_small or unique_left:
-        joined = left.join(F.broadcast(side) if known_small else side, left_key == F.col("_rkey"), "left")
+    if small or hot is None:
+        joined = left.join(F.broadcast(side) if small else side, left_key == F.col("_rkey"), "left")
         out = [F.col(f"_v{i}").alias(n) for i, n in enumerate(names)]
         found = F.col("_rkey").isNotNull()
     else:
-        if hot is None:
-            hot = hot_keys(left, left_key, hot_rows)
         hot_side = side.join(F.broadcast(hot), F.col("_rkey") == F.col("_hot"), "left_semi")
         hot_side = hot_side.select(
             F.col("_rkey").alias("_hkey"), *[F.col(f"_v{i}").alias(f"_h{i}") for i in range(len(names))]
@@ -89,9 +98,9 @@ def lookup_join(
         is_hot = F.col("_hot").isNotNull()
         spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in own]), F.lit(SPREAD))
         route = F.when(is_hot | F.col("_lkey").isNull(), F.concat(F.lit("s"), spread.cast("string"))).otherwise(
-            F.concat(F.lit("k"), F.col("_lkey"))
+            F.concat(F.lit("k"), F.col("_lkey").cast("string"))
         )
-        cold = side.withColumn("_rroute", F.concat(F.lit("k"), F.col("_rkey")))
+        cold = side.withColumn("_rroute", F.concat(F.lit("k"), F.col("_rkey").cast("string")))
         joined = flagged.withColumn("_route", route).join(cold, F.col("_route") == F.col("_rroute"), "left")
         out = [
             F.when(is_hot, F.col(f"_h{i}")).otherwise(F.col(f"_v{i}")).alias(n) for i, n in enumerate(names)
@@ -128,7 +137,7 @@ def join_text(
     sep: str,
     name: str,
     hot_rows: int = HOT_ROWS,
-    hot: DataFrame | None = None,
+    hot: DataFrame | None | str = FIND,
 ) -> DataFrame:
     """One text per key: pieces joined in `order`, NULL pieces left out.
 
@@ -137,6 +146,8 @@ def join_text(
     step.  The final text is one cell and has to fit one (2 GB in Spark).
     A key whose pieces are all NULL keeps a row with NULL.
     """
+    if isinstance(hot, str):
+        hot = hot_keys(df, F.col(key), hot_rows)
     ords = [f"_o{i}" for i in range(len(order))]
     pieces = df.select(
         F.col(key), text.cast("string").alias("_piece"), *[c.alias(o) for c, o in zip(order, ords)]
@@ -148,8 +159,8 @@ def join_text(
         return F.when(F.size(sorted_items) > 0, F.array_join(sorted_items["_piece"], sep))
 
     if hot is None:
-        hot = hot_keys(pieces, F.col(key), hot_rows)
-    on_hot = F.col(key) == F.col("_hot")
+        return pieces.groupBy(key).agg(in_order(*ords).alias(name))
+    on_hot = F.col(key).eqNullSafe(F.col("_hot"))
     cold = pieces.join(F.broadcast(hot), on_hot, "left_anti").groupBy(key).agg(in_order(*ords).alias(name))
     stretches = (
         pieces.join(F.broadcast(hot), on_hot, "left_semi")

@@ -115,5 +115,5 @@ def editions(src: Sources) -> JobResult:
 def places(src: Sources) -> JobResult:
     """Known places, and those of the sheet whose code is new."""
     known = fill("place", src["places"])
-    added = missing_from(sheet(src, "new_places").drop("_row"), known, {"place_code": "place_code"}, unique_left=True)
+    added = missing_from(sheet(src, "new_places").drop("_row"), known, {"place_code": "place_code"}, hot=None)
     return JobResult({"place": assemble(schema("place"), [known, added])})
