@@ -16,6 +16,7 @@ from ledgerloom.plans.base import JobResult, Sources, fill, numbered, sheet
 from ledgerloom.plans.fixed import KEYWORD_CODE_LENGTH, KEYWORD_PREFIX
 from ledgerloom.plans.schemas import schema
 from ledgerloom.session import store
+from ledgerloom.sources.tables import pick
 
 # Old and new column names.
 EDITION_COLUMNS = {
@@ -43,6 +44,12 @@ EDITION_COLUMNS = {
     "notes": "notes",
     "research_notes": "research_notes",
 }
+# Columns of the sheet of new places, by position.
+NEW_PLACE_COLUMNS = [
+    "place_code", "name", "alternative_names", "C18_lower_territory", "C18_sovereign_territory", "C21_admin",
+    "C21_country", "geographic_zone", "BSR", "EL", "HRE", "IFC", "P", "HE", "HT", "WT", "PT", "PrT",
+    "distance_from_neuchatel", "latitude", "longitude", "geoname", "notes",
+]
 
 
 def _associations(target: str, pairs: DataFrame, names, key: list[str]) -> DataFrame:
@@ -115,5 +122,6 @@ def editions(src: Sources) -> JobResult:
 def places(src: Sources) -> JobResult:
     """Known places, and those of the sheet whose code is new."""
     known = fill("place", src["places"])
-    added = missing_from(sheet(src, "new_places").drop("_row"), known, {"place_code": "place_code"}, hot=None)
+    listed = pick(sheet(src, "new_places"), dict(enumerate(NEW_PLACE_COLUMNS)))
+    added = missing_from(listed, known, {"place_code": "place_code"}, hot=None)
     return JobResult({"place": assemble(schema("place"), [known, added])})
