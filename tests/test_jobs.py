@@ -3,11 +3,13 @@
 import pytest
 
 from fixture_data import sources
+from ledgerloom.plans.agents import agent_professions, merged_clients
 from ledgerloom.plans.base import Options
-from ledgerloom.plans.build import all_rejects, append_coded, audit_all, build, publish_build, with_date_parts
+from ledgerloom.plans.build import all_rejects, append_coded, audit_all, build, with_date_parts
 from ledgerloom.plans.report import summary
 from ledgerloom.plans.schemas import DDL, schema
-from ledgerloom.sources.sinks import read_published
+from ledgerloom.plans.sheets import consignments
+from ledgerloom.sources.sinks import append_to, publish, read_published
 
 
 @pytest.fixture(scope="module")
@@ -180,21 +182,27 @@ def test_summary(tables):
     assert found[("events", "total")] == sum(n for (s, l), n in found.items() if s == "events" and l != "total")
 
 
-def test_older_rules_are_available(spark):
-    result = build(spark, sources(spark), Options(keep_notes=True, lose_yes=True, repeat_professions=True))
-    assert get(result.tables["consignment"], "ID", "acquit_a_caution") == [(1, None), (2, "no"), (3, None)]
-    notes = dict(get(result.tables["agent"], "agent_code", "notes"))
-    assert notes["id000013"] == "stn three Estampillage Notes: inspector note"
-    assert notes["id000012"] == "firm"
-    repeated = get(result.tables["agent_profession"], "agent_code", "profession_code")
-    assert repeated.count(("id000015", "pf001")) == 2
-
-
-def test_publish_and_read_back(spark, tmp_path):
-    written = publish_build(spark, sources(spark), str(tmp_path))
-    assert written["agent"] == 13 and written["condemnation"] == 5 and written["author_type"] == 4
-    back = read_published(spark, str(tmp_path), ["agent", "rejects"])
-    assert back["agent"].count() == 13
+def test_older_rules_are_available(spark, tables, rows):
+    src = sources(spark)
+    consigned = consignments(src, Options(lose_yes=True)).tables["consignment"]
+    assert get(consigned, "ID", "acquit_a_caution") == [(1, None), (2, "no"), (3, None)]
+    merged = merged_clients(src, tables["stn_client"], Options(keep_notes=True))
+    notes = dict(get(merged, "client_code", "notes"))
+    assert notes["cl0003"] == "stn three Estampillage Notes: inspector note"
+    parity = dict(get(merged_clients(src, tables["stn_client"], Options()), "client_code", "notes"))
+    assert parity["cl0003"] == " Estampillage Notes: inspector note"
+    links = rows("agent_code string, profession_code string", [("a", "p"), ("a", "p"), ("b", None)])
+    assert agent_professions(links, links, repeat=True).count() == 6
+    assert agent_professions(links, links).count() == 1
+
+
+def test_publish_and_read_back(spark, tables, built, tmp_path):
+    some = {n: tables[n] for n in ("agent", "condemnation", "author_type", "place")}
+    assert publish(some, str(tmp_path)) == {"agent": 13, "condemnation": 5, "author_type": 4, "place": 4}
+    assert publish({"place": tables["place"].limit(1)}, str(tmp_path)) == {"place": 1}  # refreshed, not added to
+    append_to(tables["place"], f"{tmp_path}/place")
+    back = read_published(spark, str(tmp_path), ["agent", "place"])
+    assert back["agent"].count() == 13 and back["place"].count() == 5
 
 
 def test_append_with_codes_and_date_parts(tables, rows):
