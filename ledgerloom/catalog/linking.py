@@ -172,7 +172,7 @@ def update_matched(spark, d):
         "source": F.concat(F.lit("quality "), F.col("quality")),
         "n_chars": F.nullif(F.col("quality").cast("long"), F.lit(0)),
     }
-    return joins.update_matched(documents, store(labels, "labels"), {"doc_id": "doc_id"}, updates)
+    return joins.update_matched(documents, labels, {"doc_id": "doc_id"}, updates, hot=None)
 
 
 @query(

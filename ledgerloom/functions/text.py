@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,6 +72,23 @@ def null_after(c: Column | str, sentinel: str) -> Column:
     return F.when(F.lower(_col(c)) != sentinel.lower(), _col(c))
 
 
+def _accents() -> tuple[str, str]:
+    """Accented Latin letters and the plain letters below them."""
+    pairs = []
+    for letter in map(chr, range(0xC0, 0x180)):
+        plain = unicodedata.normalize("NFD", letter)[0]
+        if plain != letter and plain.isascii():
+            pairs.append((letter, plain))
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
+def fold_name(c: Column | str, trim: bool = True) -> Column:
+    """Key under which names are equal regardless of case, accents and (with `trim`) trailing spaces."""
+    accented, plain = _accents()
+    text = F.rtrim(_col(c)) if trim else _col(c)
+    return F.lower(F.translate(text, accented, plain))
+
+
 # -- flags ------------------------------------------------------------------
 
 def yes_no(c: Column | str, lose_yes: bool = False) -> Column:

@@ -40,6 +40,5 @@ def event_totals(tables: dict[str, DataFrame], total: str = "total") -> DataFram
     counts = union_all(
         [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("label"), "n") for name, df in tables.items()]
     )
-    return counts.unionByName(
-        counts.agg(F.sum("n").alias("n")).select(F.lit(total).alias("label"), "n")
-    )
+    summed = counts.rollup("label").agg(F.sum("n").alias("n"), F.grouping("label").alias("_all"))
+    return summed.select(F.when(F.col("_all") == 1, total).otherwise(F.col("label")).alias("label"), "n")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.predicates import is_not_true, is_true
+from ledgerloom.functions.text import fold_name
 from ledgerloom.operators.skew import FIND, HOT_ROWS, join_key, lookup_join
 from ledgerloom.session import Stored
 
@@ -20,11 +21,11 @@ def decode(
 ) -> DataFrame:
     """Left lookup in a code list of fixed, small size; `values` is {new name: list column}.
 
-    With `ci` the comparison ignores case, as an equality on lowered text.
+    With `ci` the comparison ignores case and accents, as an equality on folded text.
     """
     side = codes.select(F.col(right).alias("_code"), *[F.col(c).alias(f"_d{i}") for i, c in enumerate(values.values())])
     a, b = F.col(left), F.col("_code")
-    on = F.lower(a) == F.lower(b) if ci else a == b
+    on = fold_name(a, trim=False) == fold_name(b, trim=False) if ci else a == b
     joined = df.join(F.broadcast(side), on, "left")
     keep = [c for c in df.columns if c not in values]
     return joined.select(*keep, *[F.col(f"_d{i}").alias(n) for i, n in enumerate(values)])
@@ -41,11 +42,12 @@ def resolve_pair(
 ) -> DataFrame:
     """The same lookup in several roles: {column of df: name of the resolved column}.
 
+    With `ci`, names are equal regardless of case, accents and trailing spaces.
     `names` has to hold each key once; see `operators.audit.require_unique`.
     """
 
     def as_key(c: str) -> Column:
-        return join_key(F.lower(F.col(c)) if ci else F.col(c))
+        return fold_name(c) if ci else F.col(c)
 
     for column, resolved in roles.items():
         df = lookup_join(df, names, as_key(column), as_key(key), {resolved: F.col(value)}, hot_rows=hot_rows)
@@ -125,16 +127,18 @@ def update_matched(
     on: dict[str, str],
     updates: dict[str, Column],
     hot_rows: int = HOT_ROWS,
+    hot: DataFrame | None | str = FIND,
 ) -> DataFrame:
     """Rows with a counterpart take new values (also NULL), other rows stay as they are.
 
     `source` holds each key once; reduce it before with `first_by` or an
     aggregate, which also decides which of several rows wins.  Update
-    expressions are over the columns of `source`.
+    expressions are over the columns of `source`.  Pass ``hot=None`` where the
+    join columns are a key of `table`.
     """
     fresh = {f"_new_{n}": c for n, c in updates.items()}
     joined = lookup_join(
-        table, source, join_key(*on), join_key(*on.values()), fresh, matched="_found", hot_rows=hot_rows
+        table, source, join_key(*on), join_key(*on.values()), fresh, matched="_found", hot_rows=hot_rows, hot=hot
     )
     return joined.select(
         *[

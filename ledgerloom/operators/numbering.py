@@ -8,6 +8,7 @@ and position; partition totals (one row per task) give the offsets.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,7 +19,11 @@ from ledgerloom.session import write_once
 @dataclass(frozen=True)
 class Numbered:
     df: DataFrame
-    rows: int
+    totals: DataFrame  # rows per task of the sort
+
+    @cached_property
+    def rows(self) -> int:
+        return int(self.totals.agg(F.sum("_n")).first()[0] or 0)
 
 
 def number_rows(df: DataFrame, order_by: list[str | Column], name: str = "ID", start: int = 1) -> Numbered:
@@ -34,7 +39,6 @@ def number_rows(df: DataFrame, order_by: list[str | Column], name: str = "ID", s
     # one row per task of the sort, so the unpartitioned window is bounded
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    rows = totals.agg(F.sum("_n")).first()[0] or 0
     in_part = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
     numbered = (
         written.withColumn("_part", part)
@@ -42,4 +46,4 @@ def number_rows(df: DataFrame, order_by: list[str | Column], name: str = "ID", s
         .withColumn(name, (F.col("_before") + in_part + F.lit(start)).cast("long"))
         .drop("_part", "_before", "_place")
     )
-    return Numbered(numbered, int(rows))
+    return Numbered(numbered, totals)

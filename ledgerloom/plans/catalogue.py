@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.predicates import min_len, not_null_word
-from ledgerloom.functions.text import comma_items, to_int
+from ledgerloom.functions.text import comma_items, fold_name, to_int
 from ledgerloom.operators.codes import repair_codes
 from ledgerloom.operators.crosswalk import Crosswalk, one_to_one, recode
 from ledgerloom.operators.joins import missing_from, resolve_pair, update_matched
@@ -77,9 +77,10 @@ def works(src: Sources) -> JobResult:
     )
     work = update_matched(
         work,
-        store(fuzzy, "categories"),
+        fuzzy,
         {"work_code": "super_book_code"},
         {"categorisation_fuzzy_value": to_int("fuzzyValue"), "categorisation_notes": F.col("fuzzyComment")},
+        hot=None,
     )
 
     repaired = repair_codes(src["keywords"], "keyword_code", KEYWORD_CODE_LENGTH, KEYWORD_PREFIX)
@@ -93,7 +94,7 @@ def works(src: Sources) -> JobResult:
         "work_keyword", recode(listed, keyword_map, ["keyword_code"]), ["work_code", "_pos", "keyword_code"]
     )
 
-    by_name = keyword.groupBy(F.lower("keyword").alias("name")).agg(F.min("keyword_code").alias("code"))
+    by_name = keyword.groupBy(fold_name("keyword").alias("name")).agg(F.min("keyword_code").alias("code"))
     names = store(by_name, "keyword-names")
     key = ["keyword_1", "keyword_2"]
     return JobResult(

@@ -114,3 +114,8 @@ def test_sheet_extracts_are_read_from_csv(spark, tmp_path):
     path.write_text('_row,k,v\n2,a,"line one\nline two"\n3,b,\n')
     got = scan_sheet(spark, str(path), "_row bigint, k string, v string").orderBy("_row").collect()
     assert [tuple(r) for r in got] == [(2, "a", "line one\nline two"), (3, "b", None)]
+
+
+def test_names_are_equal_without_case_accents_and_trailing_spaces(rows):
+    assert column(rows, ["Étienne  ", "ÉVÊQUE", "Łódź", " a", None], text.fold_name("c")) == ["etienne", "eveque", "łodz", " a", None]
+    assert column(rows, ["Rétiré "], text.fold_name("c", trim=False)) == ["retire "]
