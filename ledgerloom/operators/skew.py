@@ -12,10 +12,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.session import Stored
+from ledgerloom.session import Stored, write_once
 
 HOT_ROWS = 1_000_000
 SPREAD = 4096
+LISTED_KEYS = 10_000  # up to here a list of hot keys is kept in the plan, beyond it is written
 FIND = "find"
 
 
@@ -48,7 +49,13 @@ def hot_keys(df: DataFrame, key: Column, hot_rows: int = HOT_ROWS) -> DataFrame
 
 
 def some_keys(keys: DataFrame) -> DataFrame | None:
-    return None if keys.isEmpty() else keys
+    """The keys as a small local or written table, or None where there are none."""
+    found = keys.limit(LISTED_KEYS + 1).collect()
+    if not found:
+        return None
+    if len(found) <= LISTED_KEYS:
+        return keys.sparkSession.createDataFrame(found, keys.schema)
+    return write_once(keys, "hot-keys")
 
 
 def lookup_join(

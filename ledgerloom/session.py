@@ -87,9 +87,14 @@ def _row_width(schema: T.StructType) -> Column:
 
 
 def write_once(df: DataFrame, label: str = "table") -> DataFrame:
-    """Write `df` below the shared folder and return a scan of the result."""
+    """Write `df` below the shared folder and return a scan of the result.
+
+    All tables of a run lie in one directory named after the application, which
+    can be removed when the run is over.
+    """
     spark = df.sparkSession
-    path = os.path.join(shared_folder(spark), "ledgerloom", f"{label}-{uuid.uuid4().hex}")
+    run = spark.sparkContext.applicationId
+    path = os.path.join(shared_folder(spark), "ledgerloom", run, f"{label}-{uuid.uuid4().hex}")
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
