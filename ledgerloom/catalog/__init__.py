@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-THEMES = ("shaping", "linking", "merging", "coding", "auditing", "resolution")
+THEMES = ("shaping", "linking", "merging", "coding", "auditing", "resolution", "rebuild")
 
 
 def all_entries():

@@ -19,27 +19,27 @@ def _code(prefix: str, number, width: int):
 @query(
     "code_profile",
     r"""
-    WITH c AS (SELECT 'cl' || lpad(c_custkey::VARCHAR, 7, '0') AS code FROM customer)
+    WITH c AS (SELECT 'cl' || lpad(c_custkey::VARCHAR, 12, '0') AS code FROM customer)
     SELECT min(regexp_extract(code, '[a-z]+', 0)) AS prefix, (max(length(code)) - 2)::BIGINT AS digits,
            max(coalesce(nullif(regexp_extract(code, '[1-9]\d*', 0), ''), '0')::BIGINT) AS max_number,
            max(coalesce(nullif(regexp_extract(code, '[1-9]\d*', 0), ''), '0')::BIGINT) + 1 AS next_number FROM c
     """,
 )
 def code_profile(spark, d):
-    c = Tables(spark, d)("customer", "c_custkey").select(_code("cl", F.col("c_custkey"), 7).alias("code"))
+    c = Tables(spark, d)("customer", "c_custkey").select(_code("cl", F.col("c_custkey"), 12).alias("code"))
     return codes.code_profile(c, "code")
 
 
 @query(
     "allocate_codes",
     """
-    SELECT c_custkey, 'id' || lpad(((SELECT max(s_suppkey) FROM supplier) + row_number() OVER (ORDER BY c_name, c_custkey))::VARCHAR, 9, '0') AS agent_code
+    SELECT c_custkey, 'id' || lpad(((SELECT max(s_suppkey) FROM supplier) + row_number() OVER (ORDER BY c_name, c_custkey))::VARCHAR, 12, '0') AS agent_code
     FROM customer
     """,
 )
 def allocate_codes(spark, d):
     t = Tables(spark, d)
-    agents = t("supplier", "s_suppkey").select(_code("id", F.col("s_suppkey"), 9).alias("agent_code"))
+    agents = t("supplier", "s_suppkey").select(_code("id", F.col("s_suppkey"), 12).alias("agent_code"))
     customers = t("customer", "c_custkey", "c_name")
     return codes.allocate_codes(agents, "agent_code", customers, ["c_name", "c_custkey"]).drop("c_name")
 
@@ -47,21 +47,21 @@ def allocate_codes(spark, d):
 @query(
     "repair_codes",
     """
-    WITH c AS (SELECT DISTINCT 'k' || CASE WHEN p_partkey % 5 = 0 THEN p_partkey::VARCHAR ELSE lpad(p_partkey::VARCHAR, 8, '0') END AS code FROM part),
-    m AS (SELECT max(regexp_extract(code, '[1-9][0-9]*', 0)::BIGINT) AS n FROM c WHERE length(code) = 9)
-    SELECT code AS old_code, code AS new_code FROM c WHERE length(code) = 9
+    WITH c AS (SELECT DISTINCT 'k' || CASE WHEN p_partkey % 5 = 0 THEN p_partkey::VARCHAR ELSE lpad(p_partkey::VARCHAR, 12, '0') END AS code FROM part),
+    m AS (SELECT max(regexp_extract(code, '[1-9][0-9]*', 0)::BIGINT) AS n FROM c WHERE length(code) = 13)
+    SELECT code AS old_code, code AS new_code FROM c WHERE length(code) = 13
     UNION ALL
-    SELECT code, 'k' || lpad((n + row_number() OVER (ORDER BY code))::VARCHAR, 8, '0') FROM c, m WHERE length(code) <> 9
+    SELECT code, 'k' || lpad((n + row_number() OVER (ORDER BY code))::VARCHAR, 12, '0') FROM c, m WHERE length(code) <> 13
     """,
 )
 def repair_codes(spark, d):
     key = F.col("p_partkey")
     c = Tables(spark, d)("part", "p_partkey").select(
         F.concat(
-            F.lit("k"), F.when(key % 5 == 0, key.cast("string")).otherwise(F.lpad(key.cast("string"), 8, "0"))
+            F.lit("k"), F.when(key % 5 == 0, key.cast("string")).otherwise(F.lpad(key.cast("string"), 12, "0"))
         ).alias("code")
     )
-    return codes.repair_codes(c, "code", 9, "k")
+    return codes.repair_codes(c, "code", 13, "k")
 
 
 @query("widen_codes", "SELECT c_custkey, 'id00' || right(c_name, 4) AS agent_code FROM customer")
@@ -89,17 +89,17 @@ def row_ids(spark, d):
 @query(
     "append_with_codes",
     """
-    WITH t AS (SELECT o_orderkey, 'or' || lpad(o_orderkey::VARCHAR, 10, '0') AS code FROM orders WHERE o_orderstatus <> 'P')
+    WITH t AS (SELECT o_orderkey, 'or' || lpad(o_orderkey::VARCHAR, 12, '0') AS code FROM orders WHERE o_orderstatus <> 'P')
     SELECT code, o_orderkey FROM t
     UNION ALL
-    SELECT 'or' || lpad(((SELECT max(o_orderkey) FROM t) + row_number() OVER (ORDER BY o_totalprice, o_orderkey))::VARCHAR, 10, '0'), o_orderkey
+    SELECT 'or' || lpad(((SELECT max(o_orderkey) FROM t) + row_number() OVER (ORDER BY o_totalprice, o_orderkey))::VARCHAR, 12, '0'), o_orderkey
     FROM orders WHERE o_orderstatus = 'P'
     """,
 )
 def append_with_codes(spark, d):
     """Later rows come with a code of their own, which is overwritten."""
     orders = Tables(spark, d)("orders", "o_orderkey", "o_orderstatus", "o_totalprice")
-    table = orders.filter("o_orderstatus <> 'P'").select(_code("or", F.col("o_orderkey"), 10).alias("code"), "o_orderkey")
+    table = orders.filter("o_orderstatus <> 'P'").select(_code("or", F.col("o_orderkey"), 12).alias("code"), "o_orderkey")
     batch = orders.filter("o_orderstatus = 'P'").select(F.lit("supplied").alias("code"), "o_orderkey", "o_totalprice")
     return codes.append_with_codes(table, batch, "code", ["o_totalprice", "o_orderkey"]).drop("o_totalprice")
 
@@ -122,36 +122,36 @@ def row_uuid(spark, d):
     "codes_by_name",
     """
     WITH n AS (SELECT p_name, row_number() OVER (ORDER BY p_name) AS k FROM (SELECT DISTINCT p_name FROM part))
-    SELECT p_partkey, p_name, 'id' || lpad(((SELECT max(s_suppkey) FROM supplier) + k)::VARCHAR, 8, '0') AS agent_code
+    SELECT p_partkey, p_name, 'id' || lpad(((SELECT max(s_suppkey) FROM supplier) + k)::VARCHAR, 12, '0') AS agent_code
     FROM part JOIN n USING (p_name)
     """,
 )
 def codes_by_name(spark, d):
     t = Tables(spark, d)
-    agents = t("supplier", "s_suppkey").select(_code("id", F.col("s_suppkey"), 8).alias("agent_code"))
+    agents = t("supplier", "s_suppkey").select(_code("id", F.col("s_suppkey"), 12).alias("agent_code"))
     frame = codes.CodeFrame.of(agents, "agent_code")
     coded, _, _ = codes.codes_by_name(frame, t("part", "p_partkey", "p_name"), "p_name", "agent_code")
     return coded
 
 
 CROSSWALK_SQL = """
-    agent AS (SELECT 'id' || lpad(s_suppkey::VARCHAR, 7, '0') AS agent_code FROM supplier),
+    agent AS (SELECT 'id' || lpad(s_suppkey::VARCHAR, 12, '0') AS agent_code FROM supplier),
     client AS (
-      SELECT 'cl' || lpad(c_custkey::VARCHAR, 7, '0') AS client_code, c_custkey,
+      SELECT 'cl' || lpad(c_custkey::VARCHAR, 12, '0') AS client_code, c_custkey,
              CASE WHEN c_nationkey = 7 THEN 'Null' WHEN c_nationkey = 8 THEN NULL ELSE c_name END AS name,
              CASE WHEN c_acctbal < 0 THEN TRUE WHEN c_acctbal < 8000 THEN FALSE END AS partnership,
              CASE WHEN c_mktsegment = 'BUILDING' THEN 'Y' END AS person, CASE WHEN c_mktsegment = 'MACHINERY' THEN 'Y' END AS firm
       FROM customer),
     link AS (
-      SELECT DISTINCT 'cl' || lpad(o_custkey::VARCHAR, 7, '0') AS client_code, 'id' || lpad(l_suppkey::VARCHAR, 7, '0') AS agent_code
+      SELECT DISTINCT 'cl' || lpad(o_custkey::VARCHAR, 12, '0') AS client_code, 'id' || lpad(l_suppkey::VARCHAR, 12, '0') AS agent_code
       FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_custkey % 3 = 0 AND l_linenumber = 1),
     linked AS (SELECT client_code, agent_code FROM link LEFT JOIN client USING (client_code) WHERE partnership IS NOT TRUE),
     reviewed AS (
-      SELECT client_code, 'id' || lpad(((SELECT max(s_suppkey) FROM supplier) + row_number() OVER (ORDER BY c_custkey))::VARCHAR, 7, '0') AS agent_code
+      SELECT client_code, 'id' || lpad(((SELECT max(s_suppkey) FROM supplier) + row_number() OVER (ORDER BY c_custkey))::VARCHAR, 12, '0') AS agent_code
       FROM client WHERE c_custkey % 3 = 1 AND (person = 'Y' OR firm = 'Y')),
     known AS (SELECT * FROM linked UNION ALL SELECT * FROM reviewed),
     fresh AS (
-      SELECT client_code, 'id' || lpad(((SELECT max(s_suppkey) FROM supplier) + (SELECT count(*) FROM reviewed) + row_number() OVER (ORDER BY client_code))::VARCHAR, 7, '0') AS agent_code
+      SELECT client_code, 'id' || lpad(((SELECT max(s_suppkey) FROM supplier) + (SELECT count(*) FROM reviewed) + row_number() OVER (ORDER BY client_code))::VARCHAR, 12, '0') AS agent_code
       FROM client WHERE lower(name) <> 'null' AND client_code NOT IN (SELECT client_code FROM known)),
     pairs AS (SELECT * FROM known UNION ALL SELECT * FROM fresh)
 """
@@ -161,20 +161,20 @@ def crosswalk_sources(t: Tables):
     """Clients with flags, their existing links to agents, and the agents themselves."""
     key = F.col("c_custkey")
     clients = t("customer").select(
-        _code("cl", key, 7).alias("client_code"),
+        _code("cl", key, 12).alias("client_code"),
         key.alias("_row"),
         F.when(F.col("c_nationkey") == 7, "Null").when(F.col("c_nationkey") == 8, None).otherwise(F.col("c_name")).alias("name"),
         F.when(F.col("c_acctbal") < 0, True).when(F.col("c_acctbal") < 8000, False).alias("partnership"),
         F.when(F.col("c_mktsegment") == "BUILDING", "Y").alias("person"),
         F.when(F.col("c_mktsegment") == "MACHINERY", "Y").alias("firm"),
     )
-    agents = t("supplier", "s_suppkey").select(_code("id", F.col("s_suppkey"), 7).alias("agent_code"))
+    agents = t("supplier", "s_suppkey").select(_code("id", F.col("s_suppkey"), 12).alias("agent_code"))
     orders = t("orders", "o_orderkey", "o_custkey").filter("o_custkey % 3 = 0")
     lines = t("lineitem", "l_orderkey", "l_suppkey", "l_linenumber").filter("l_linenumber = 1")
     links = (
         orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
         .select(
-            _code("cl", F.col("o_custkey"), 7).alias("client_code"), _code("id", F.col("l_suppkey"), 7).alias("agent_code")
+            _code("cl", F.col("o_custkey"), 12).alias("client_code"), _code("id", F.col("l_suppkey"), 12).alias("agent_code")
         )
         .distinct()
     )

@@ -18,7 +18,7 @@ from ledgerloom.session import measured, store, write_once
 
 RESOLUTION_SQL = """
 WITH client AS (
-  SELECT 'cl' || lpad(c_custkey::VARCHAR, 7, '0') AS client_code, c_custkey, c_nationkey,
+  SELECT 'cl' || lpad(c_custkey::VARCHAR, 12, '0') AS client_code, c_custkey, c_nationkey,
          CASE WHEN c_nationkey = 7 THEN 'Null' WHEN c_nationkey = 8 THEN NULL ELSE c_name END AS name,
          CASE c_mktsegment WHEN 'BUILDING' THEN 'mixed' WHEN 'MACHINERY' THEN 'male' WHEN 'HOUSEHOLD' THEN 'Female' END AS gender,
          CASE WHEN c_acctbal < 0 THEN TRUE WHEN c_acctbal < 8000 THEN FALSE END AS partnership,
@@ -28,10 +28,10 @@ WITH client AS (
 r AS (
   SELECT 0 AS prio, 0::BIGINT AS r, client_code AS code, name, gender, partnership AS corporate, NULL AS places, notes, '' AS label FROM client
   UNION ALL
-  SELECT 1, 0, 'cl' || lpad((s_suppkey * 20)::VARCHAR, 7, '0'), s_name, NULL, NULL,
+  SELECT 1, 0, 'cl' || lpad((s_suppkey * 20)::VARCHAR, 12, '0'), s_name, NULL, NULL,
          'pl' || s_nationkey || ', pl' || (s_nationkey + 1) || ';  pl9', CASE WHEN s_acctbal > 0 THEN 's' || s_nationkey END, ' Stock notes: ' FROM supplier
   UNION ALL
-  SELECT 2, event_id, 'cl' || lpad((user_id * 13)::VARCHAR, 7, '0'), 'user ' || user_id, NULL, NULL, NULL,
+  SELECT 2, event_id, 'cl' || lpad((user_id * 13)::VARCHAR, 12, '0'), 'user ' || user_id, NULL, NULL, NULL,
          CASE WHEN event_type <> 'error' THEN event_type END, ' Event notes: ' FROM events),
 k AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY prio, r) AS i, count(*) OVER (PARTITION BY code) AS n FROM r),
 e AS (SELECT *, max(CASE WHEN notes IS NULL AND i > 1 THEN i ELSE 0 END) OVER (PARTITION BY code) AS cut FROM k),
@@ -42,22 +42,22 @@ m AS (
               ELSE string_agg(CASE WHEN i = 1 THEN notes ELSE label || notes END, '' ORDER BY i) FILTER (WHERE i > cut) END AS notes
   FROM e GROUP BY code),
 link AS (
-  SELECT DISTINCT 'cl' || lpad(o_custkey::VARCHAR, 7, '0') AS client_code, 'id' || lpad(l_suppkey::VARCHAR, 7, '0') AS agent_code
+  SELECT DISTINCT 'cl' || lpad(o_custkey::VARCHAR, 12, '0') AS client_code, 'id' || lpad(l_suppkey::VARCHAR, 12, '0') AS agent_code
   FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_custkey % 3 = 0 AND l_linenumber = 1),
 linked AS (SELECT client_code, agent_code FROM link LEFT JOIN client USING (client_code) WHERE partnership IS NOT TRUE),
 last_code AS (SELECT max(s_suppkey) AS n FROM supplier),
 reviewed AS (
   SELECT client_code, name, NOT person_ok AS corporate, CASE WHEN c_nationkey < 10 THEN 'checked' END AS notes,
-         'id' || lpad((n + row_number() OVER (ORDER BY c_custkey))::VARCHAR, 7, '0') AS agent_code
+         'id' || lpad((n + row_number() OVER (ORDER BY c_custkey))::VARCHAR, 12, '0') AS agent_code
   FROM client, last_code WHERE c_custkey % 3 = 1 AND (person_ok OR firm_ok)),
 known AS (SELECT client_code, agent_code FROM linked UNION ALL SELECT client_code, agent_code FROM reviewed),
 fresh AS (
-  SELECT m.*, 'id' || lpad((n + (SELECT count(*) FROM reviewed) + row_number() OVER (ORDER BY client_code))::VARCHAR, 7, '0') AS agent_code
+  SELECT m.*, 'id' || lpad((n + (SELECT count(*) FROM reviewed) + row_number() OVER (ORDER BY client_code))::VARCHAR, 12, '0') AS agent_code
   FROM m, last_code WHERE lower(name) <> 'null' AND client_code NOT IN (SELECT client_code FROM known)),
 pairs AS (SELECT * FROM known UNION ALL SELECT client_code, agent_code FROM fresh),
 x AS (SELECT client_code, min(agent_code) AS agent_code FROM pairs GROUP BY 1),
 agent AS (
-  SELECT 'id' || lpad(s_suppkey::VARCHAR, 7, '0') AS agent_code, s_name AS name, NULL AS sex, NULL::BOOLEAN AS corporate_entity, NULL AS notes FROM supplier
+  SELECT 'id' || lpad(s_suppkey::VARCHAR, 12, '0') AS agent_code, s_name AS name, NULL AS sex, NULL::BOOLEAN AS corporate_entity, NULL AS notes FROM supplier
   UNION ALL SELECT agent_code, name, NULL, corporate, notes FROM reviewed
   UNION ALL
   SELECT agent_code, name, CASE WHEN lower(gender) LIKE 'mixed%' THEN 'B' WHEN lower(gender) LIKE 'm%' THEN 'M' WHEN lower(gender) LIKE 'f%' THEN 'F' ELSE gender END,
@@ -71,7 +71,7 @@ noted AS (
               ELSE trim(coalesce(a.notes, '') || ' ' || note.notes) END AS notes
   FROM agent a LEFT JOIN note USING (agent_code)),
 uses AS (
-  SELECT x.agent_code, count(*) AS n FROM orders LEFT JOIN x ON 'cl' || lpad(o_custkey::VARCHAR, 7, '0') = x.client_code GROUP BY 1),
+  SELECT x.agent_code, count(*) AS n FROM orders LEFT JOIN x ON 'cl' || lpad(o_custkey::VARCHAR, 12, '0') = x.client_code GROUP BY 1),
 member AS (
   SELECT l.agent_code, count(*) AS n FROM link l JOIN client c USING (client_code) JOIN agent a USING (agent_code)
   WHERE c.partnership IS TRUE AND a.corporate_entity IS NOT TRUE GROUP BY 1),
@@ -89,7 +89,7 @@ def _sources(t: Tables):
     key, nation = F.col("c_custkey"), F.col("c_nationkey")
     segment = F.col("c_mktsegment")
     clients = t("customer").select(
-        _code("cl", key, 7).alias("client_code"),
+        _code("cl", key, 12).alias("client_code"),
         key.alias("_row"),
         F.when(nation == 7, "Null").when(nation == 8, None).otherwise(F.col("c_name")).alias("name"),
         F.when(segment == "BUILDING", "mixed").when(segment == "MACHINERY", "male").when(segment == "HOUSEHOLD", "Female").alias("gender"),
@@ -102,27 +102,27 @@ def _sources(t: Tables):
     supplier = t("supplier")
     place = F.col("s_nationkey")
     dealers = supplier.select(
-        _code("cl", F.col("s_suppkey") * 20, 7).alias("client_code"),
+        _code("cl", F.col("s_suppkey") * 20, 12).alias("client_code"),
         F.col("s_name").alias("name"),
         F.concat(F.lit("pl"), place, F.lit(", pl"), place + 1, F.lit(";  pl9")).alias("place_codes"),
         F.when(F.col("s_acctbal") > 0, F.concat(F.lit("s"), place)).alias("notes"),
     )
     users = t("events", "event_id", "user_id", "event_type").select(
-        _code("cl", F.col("user_id") * 13, 7).alias("client_code"),
+        _code("cl", F.col("user_id") * 13, 12).alias("client_code"),
         F.concat(F.lit("user "), "user_id").alias("name"),
         F.when(F.col("event_type") != "error", F.col("event_type")).alias("notes"),
         "event_id",
     )
-    people = supplier.select(_code("id", F.col("s_suppkey"), 7).alias("agent_code"), F.col("s_name").alias("name"))
+    people = supplier.select(_code("id", F.col("s_suppkey"), 12).alias("agent_code"), F.col("s_name").alias("name"))
     orders = t("orders", "o_orderkey", "o_custkey")
     lines = t("lineitem", "l_orderkey", "l_suppkey", "l_linenumber").filter("l_linenumber = 1")
     links = (
         orders.filter("o_custkey % 3 = 0")
         .join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
-        .select(_code("cl", F.col("o_custkey"), 7).alias("client_code"), _code("id", F.col("l_suppkey"), 7).alias("agent_code"))
+        .select(_code("cl", F.col("o_custkey"), 12).alias("client_code"), _code("id", F.col("l_suppkey"), 12).alias("agent_code"))
         .distinct()
     )
-    events = orders.select("o_orderkey", _code("cl", F.col("o_custkey"), 7).alias("buyer"))
+    events = orders.select("o_orderkey", _code("cl", F.col("o_custkey"), 12).alias("buyer"))
     return clients, dealers, users, people, links, events
 
 

@@ -26,8 +26,9 @@ def seed_tables(spark: SparkSession) -> dict[str, DataFrame]:
 def build(spark: SparkSession, src: Sources, options: Options = Options()) -> JobResult:
     """All target tables out of the sources, and the reject counts of the cleaning steps."""
     result = JobResult(seed_tables(spark))
-    for job in (works, editions, places, ledgers, registers):
+    for job in (works, editions, ledgers, registers):
         result = result.merge(job(src))
+    result = result.merge(places(src, options))
     result = result.merge(sheet_events(src, result.tables["edition"], result.tables["place"], options))
     return result.merge(resolve_agents(src, result.tables, options))
 

@@ -12,7 +12,7 @@ from ledgerloom.operators.crosswalk import Crosswalk, one_to_one, recode
 from ledgerloom.operators.joins import missing_from, resolve_pair, update_matched
 from ledgerloom.operators.merge import first_by, unique_rows
 from ledgerloom.operators.shape import assemble, copy_positional
-from ledgerloom.plans.base import JobResult, Sources, fill, numbered, sheet
+from ledgerloom.plans.base import JobResult, Options, Sources, fill, numbered, sheet
 from ledgerloom.plans.fixed import KEYWORD_CODE_LENGTH, KEYWORD_PREFIX
 from ledgerloom.plans.schemas import schema
 from ledgerloom.session import store
@@ -120,9 +120,9 @@ def editions(src: Sources) -> JobResult:
     return JobResult({"edition": fill("edition", src["manuscript_books_editions"], EDITION_COLUMNS)})
 
 
-def places(src: Sources) -> JobResult:
+def places(src: Sources, options: Options = Options()) -> JobResult:
     """Known places, and those of the sheet whose code is new."""
     known = fill("place", src["places"])
-    listed = pick(sheet(src, "new_places"), dict(enumerate(NEW_PLACE_COLUMNS)))
+    listed = pick(sheet(src, "new_places", options), dict(enumerate(NEW_PLACE_COLUMNS)))
     added = missing_from(listed, known, {"place_code": "place_code"}, hot=None)
     return JobResult({"place": assemble(schema("place"), [known, added])})
