@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.predicates import is_not_true, is_true
 from ledgerloom.functions.text import fold_name
-from ledgerloom.operators.skew import FIND, HOT_ROWS, join_key, lookup_join
+from ledgerloom.operators.skew import FIND, HOT_ROWS, join_key, lookup_join, some_keys
 from ledgerloom.session import Stored
 
+GATHERED = 1000  # values of a key that may travel as one array
+VALUE_BUCKETS = 64
+
 
 def decode(
     df: DataFrame,
@@ -19,14 +22,16 @@ def decode(
     values: dict[str, str],
     ci: bool = False,
 ) -> DataFrame:
-    """Left lookup in a code list of fixed, small size; `values` is {new name: list column}.
+    """Left lookup in a code list; `values` is {new name: list column}.
 
+    A list made by `sources.tables.lookup` is bounded and carries its broadcast
+    hint; for any other table Spark decides by size.
     With `ci` the comparison ignores case and accents, as an equality on folded text.
     """
     side = codes.select(F.col(right).alias("_code"), *[F.col(c).alias(f"_d{i}") for i, c in enumerate(values.values())])
     a, b = F.col(left), F.col("_code")
     on = fold_name(a, trim=False) == fold_name(b, trim=False) if ci else a == b
-    joined = df.join(F.broadcast(side), on, "left")
+    joined = df.join(side, on, "left")
     keep = [c for c in df.columns if c not in values]
     return joined.select(*keep, *[F.col(f"_d{i}").alias(n) for i, n in enumerate(values)])
 
@@ -110,15 +115,31 @@ def all_counterparts(
 ) -> DataFrame:
     """Join to a map that may hold several values per key: one row per value.
 
-    The values of a key are gathered first (they are the distinct codes of one
-    entity, a handful), so that `df` meets each key once.
+    Up to `GATHERED` values of a key travel as one array, so that `df` meets each
+    key once.  Keys with more values, found by a count, are joined value by
+    value instead, spread over buckets of values.
     """
-    gathered = pairs.groupBy(right).agg(F.sort_array(F.collect_set(value)).alias("_values"))
+    pairs = pairs.select(F.col(right).alias("_rkey"), F.col(value).alias("_value")).distinct()
+    per_key = pairs.groupBy("_rkey").agg(F.count("_value").alias("_n"))
+    wide = some_keys(per_key.filter(F.col("_n") > GATHERED).select("_rkey"))
+    narrow_pairs, narrow = pairs, df
+    if wide is not None:
+        narrow_pairs = pairs.join(F.broadcast(wide), "_rkey", "left_anti")
+        narrow = df.join(F.broadcast(wide), F.col(left) == F.col("_rkey"), "left_anti")
+    gathered = narrow_pairs.groupBy("_rkey").agg(F.collect_set("_value").alias("_values"))
     joined = lookup_join(
-        df, gathered, join_key(left), join_key(right), {"_values": F.col("_values")}, hot_rows=hot_rows
+        narrow, gathered, join_key(left), F.col("_rkey"), {"_values": F.col("_values")}, hot_rows=hot_rows
     )
     spread = F.explode_outer if keep_unmatched else F.explode
-    return joined.select(*df.columns, spread("_values").alias(name))
+    out = joined.select(*df.columns, spread("_values").alias(name))
+    if wide is None:
+        return out
+    buckets = F.explode(F.sequence(F.lit(0), F.lit(VALUE_BUCKETS - 1))).alias("_bucket")
+    many = df.join(F.broadcast(wide), F.col(left) == F.col("_rkey"), "left_semi").select(*df.columns, buckets)
+    values = pairs.join(F.broadcast(wide), "_rkey", "left_semi").filter(F.col("_value").isNotNull())
+    values = values.withColumn("_value_bucket", F.pmod(F.xxhash64("_value"), F.lit(VALUE_BUCKETS)).cast("int"))
+    on = (F.col(left) == F.col("_rkey")) & (F.col("_bucket") == F.col("_value_bucket"))
+    return out.unionByName(many.join(values, on).select(*df.columns, F.col("_value").alias(name)))
 
 
 def update_matched(

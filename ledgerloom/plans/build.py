@@ -7,16 +7,17 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import add_partial_date
 from ledgerloom.operators.audit import audit_table, dangling
-from ledgerloom.operators.codes import append_with_codes
+from ledgerloom.operators.codes import allocate_codes, append_with_codes
+from ledgerloom.operators.shape import conform
 from ledgerloom.operators.skew import union_all
 from ledgerloom.plans.agents import resolve_agents
 from ledgerloom.plans.base import JobResult, Options, Sources
 from ledgerloom.plans.catalogue import editions, places, works
 from ledgerloom.plans.fixed import CODED_TABLES, SEEDS
 from ledgerloom.plans.registers import ledgers, registers
-from ledgerloom.plans.schemas import DDL, DOMAINS, REFERENCES, keys, required, widths
+from ledgerloom.plans.schemas import DDL, DEFAULTS, DOMAINS, REFERENCES, keys, required, widths
 from ledgerloom.plans.sheets import sheet_events
-from ledgerloom.sources.sinks import publish
+from ledgerloom.sources.sinks import append_to, publish
 
 
 def seed_tables(spark: SparkSession) -> dict[str, DataFrame]:
@@ -58,6 +59,14 @@ def append_coded(tables: dict[str, DataFrame], table: str, batch: DataFrame, ord
     return append_with_codes(tables[table], batch, CODED_TABLES[table], order_by)
 
 
+def append_coded_to(path: str, table: str, batch: DataFrame, order_by: list[str | Column]) -> None:
+    """The same for a published table: later rows are added to its files, which stay as they are."""
+    column, place = CODED_TABLES[table], f"{path.rstrip('/')}/{table}"
+    existing = batch.sparkSession.read.parquet(place)
+    coded = allocate_codes(existing, column, batch.drop(column), order_by, column)
+    append_to(conform(coded, existing.schema, DEFAULTS.get(table)), place)
+
+
 def audit_all(tables: dict[str, DataFrame]) -> DataFrame:
     """Violations of all declared rules: (table, rule, column, n), rules that hold left out."""
     parts = [

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+LOOKUP_ROWS = 10_000  # a code list is written out by hand; anything longer is a table
+
 
 def scan(
     spark: SparkSession,
@@ -63,7 +65,9 @@ def scan_grid(
 
 
 def lookup(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A code list of fixed, small size, marked for broadcast."""
+    """A code list given in the program, marked for broadcast."""
+    if len(rows) > LOOKUP_ROWS:
+        raise ValueError(f"{len(rows)} rows are no code list; store them as a table")
     return F.broadcast(spark.createDataFrame(rows, schema))
 
 

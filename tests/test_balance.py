@@ -169,12 +169,15 @@ def test_first_and_last(rows):
     assert bag(merge.last_by(df, ["k"], ["n"])) == sorted([("a", 2, "two"), ("b", 1, None), (None, 5, "x")], key=repr)
 
 
-def test_all_counterparts(rows):
-    left = rows("i int, k string", [(1, "a"), (2, "b"), (3, None), (4, "z")])
-    pairs = rows("k string, v string", [("a", "y"), ("a", "x"), ("a", "x"), ("b", "w")])
-    kept = joins.all_counterparts(left, pairs, "k", "k", "v", "v", keep_unmatched=True)
-    assert bag(kept) == sorted([(1, "a", "x"), (1, "a", "y"), (2, "b", "w"), (3, None, None), (4, "z", None)], key=repr)
-    assert joins.all_counterparts(left, pairs, "k", "k", "v", "v").count() == 3
+def test_all_counterparts(rows, monkeypatch):
+    left = rows("i int, k string", [(1, "a"), (2, "b"), (3, None), (4, "z"), (5, "a")])
+    pairs = rows("k string, v string", [("a", "y"), ("a", "x"), ("a", "x"), ("a", None), ("b", "w")])
+    want = [(1, "a", "x"), (1, "a", "y"), (2, "b", "w"), (5, "a", "x"), (5, "a", "y")]
+    for gathered in (1000, 1):
+        monkeypatch.setattr(joins, "GATHERED", gathered)
+        kept = joins.all_counterparts(left, pairs, "k", "k", "v", "v", keep_unmatched=True)
+        assert bag(kept) == sorted([*want, (3, None, None), (4, "z", None)], key=repr)
+        assert bag(joins.all_counterparts(left, pairs, "k", "k", "v", "v")) == sorted(want, key=repr)
 
 
 def test_codes(rows):

@@ -5,7 +5,7 @@ import pytest
 from fixture_data import sources
 from ledgerloom.plans.agents import agent_professions, merged_clients
 from ledgerloom.plans.base import Options
-from ledgerloom.plans.build import all_rejects, append_coded, audit_all, build, with_date_parts
+from ledgerloom.plans.build import all_rejects, append_coded, append_coded_to, audit_all, build, with_date_parts
 from ledgerloom.plans.report import summary
 from ledgerloom.plans.schemas import DDL, schema
 from ledgerloom.plans.sheets import consignments
@@ -203,6 +203,9 @@ def test_publish_and_read_back(spark, tables, built, tmp_path):
     append_to(tables["place"], f"{tmp_path}/place")
     back = read_published(spark, str(tmp_path), ["agent", "place"])
     assert back["agent"].count() == 13 and back["place"].count() == 5
+    append_coded_to(str(tmp_path), "agent", spark.createDataFrame([("Metz", "x"), ("Brest", "y")], "name string, notes string"), ["name"])
+    again = read_published(spark, str(tmp_path), ["agent"])["agent"]
+    assert get(again, "agent_code", "name")[-2:] == [("id000020", "Brest"), ("id000021", "Metz")]
 
 
 def test_append_with_codes_and_date_parts(tables, rows):

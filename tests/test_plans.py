@@ -6,7 +6,8 @@ import pytest
 
 import __spark_entry__ as spark_entry
 from ledgerloom import session
-from ledgerloom.operators import audit, skew
+from ledgerloom.operators import audit, joins, skew
+from ledgerloom.sources.tables import lookup
 from pyspark.sql import functions as F
 
 FOLDER = "/root/testdata/sf0.001"
@@ -53,3 +54,11 @@ def test_require_unique(rows):
 def test_intermediate_tables_go_to_the_named_folder(spark, rows):
     stored = session.write_once(rows("k string", [("a",)]))
     assert spark.conf.get("spark.checkpoint.dir") in stored.inputFiles()[0]
+
+
+def test_code_lists_are_bounded_and_broadcast(spark, rows):
+    codes = lookup(spark, [("a", 1)], "code string, id int")
+    text = plan(joins.decode(rows("k string", [("a",)]), codes, "k", "code", {"id": "id"}))
+    assert "BroadcastHashJoin" in text
+    with pytest.raises(ValueError):
+        lookup(spark, [("a", 1)] * 10_001, "code string, id int")
