@@ -65,13 +65,25 @@ def audit_rows(spark, d):
     SELECT 'dangling' AS rule, 'o' || o_orderkey AS value, 1::BIGINT AS n FROM orders
       WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
     UNION ALL
+    SELECT 'dangling lines', 'l_partkey', count(*) FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 10)
+    UNION ALL
     SELECT 'fan out', p_name, count(*) FROM part GROUP BY p_name HAVING count(*) > 1
     """,
 )
 def audit_references(spark, d):
     t = Tables(spark, d)
     lost = audit.dangling(t("orders", "o_orderkey"), "o_orderkey", t("lineitem", "l_orderkey"), "l_orderkey")
+    large = t("part", "p_partkey", "p_size").filter("p_size > 10")
+    lines = audit.dangling_count(t("lineitem", "l_partkey"), "l_partkey", large, "p_partkey")
     fan = audit.fan_out(t("part", "p_name"), ["p_name"])
-    return lost.select(
-        F.lit("dangling").alias("rule"), F.concat(F.lit("o"), "o_orderkey").alias("value"), F.lit(1).cast("long").alias("n")
-    ).unionByName(fan.select(F.lit("fan out").alias("rule"), F.col("p_name").alias("value"), "n"))
+    return union_all(
+        [
+            lost.select(
+                F.lit("dangling").alias("rule"),
+                F.concat(F.lit("o"), "o_orderkey").alias("value"),
+                F.lit(1).cast("long").alias("n"),
+            ),
+            lines.select(F.lit("dangling lines").alias("rule"), F.lit("l_partkey").alias("value"), "n"),
+            fan.select(F.lit("fan out").alias("rule"), F.col("p_name").alias("value"), "n"),
+        ]
+    )

@@ -54,6 +54,13 @@ def dangling(df: DataFrame, column: str, other: DataFrame, key: str, hot_rows: i
     return missing_from(df.filter(F.col(column).isNotNull()), other, {column: key}, hot_rows=hot_rows)
 
 
+def dangling_count(df: DataFrame, column: str, other: DataFrame, key: str) -> DataFrame:
+    """One row: how many references point nowhere.  Equal references are counted before they are looked up."""
+    used = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    lost = missing_from(used, other, {column: key}, hot=None)
+    return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+
+
 def fan_out(df: DataFrame, key: list[str]) -> DataFrame:
     """Lookup keys that would multiply rows in a join."""
     return duplicate_keys(df, key)

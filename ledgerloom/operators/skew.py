@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from ledgerloom.session import Stored, write_once
 
 HOT_ROWS = 1_000_000
-SPREAD = 4096
 LISTED_KEYS = 10_000  # up to here a list of hot keys is kept in the plan, beyond it is written
 FIND = "find"
 
@@ -103,7 +102,7 @@ def lookup_join(
         keyed = left.withColumn("_lkey", left_key)
         flagged = keyed.join(F.broadcast(hot_table), F.col("_lkey") == F.col("_hot"), "left")
         is_hot = F.col("_hot").isNotNull()
-        spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in own]), F.lit(SPREAD))
+        spread = F.xxhash64(*[F.col(f"`{c}`") for c in own])
         route = F.when(is_hot | F.col("_lkey").isNull(), F.concat(F.lit("s"), spread.cast("string"))).otherwise(
             F.concat(F.lit("k"), F.col("_lkey").cast("string"))
         )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import add_partial_date
-from ledgerloom.operators.audit import audit_table, dangling
+from ledgerloom.operators.audit import audit_table, dangling_count
 from ledgerloom.operators.codes import allocate_codes, append_with_codes
 from ledgerloom.operators.shape import conform
 from ledgerloom.operators.skew import union_all
@@ -77,7 +77,7 @@ def audit_all(tables: dict[str, DataFrame]) -> DataFrame:
     for name, columns in REFERENCES.items():
         for column, (other, key) in columns.items():
             if name in tables and other in tables:
-                lost = dangling(tables[name], column, tables[other], key).agg(F.count(F.lit(1)).alias("n"))
+                lost = dangling_count(tables[name], column, tables[other], key)
                 parts.append(
                     lost.select(
                         F.lit(name).alias("table"), F.lit("reference").alias("rule"), F.lit(column).alias("column"), "n"
