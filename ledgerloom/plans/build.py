@@ -15,7 +15,7 @@ from ledgerloom.plans.base import JobResult, Options, Sources
 from ledgerloom.plans.catalogue import editions, places, works
 from ledgerloom.plans.fixed import CODED_TABLES, SEEDS
 from ledgerloom.plans.registers import ledgers, registers
-from ledgerloom.plans.schemas import DDL, DEFAULTS, DOMAINS, REFERENCES, keys, required, widths
+from ledgerloom.plans.schemas import DATE_COLUMNS, DDL, DEFAULTS, DOMAINS, REFERENCES, keys, required, widths
 from ledgerloom.plans.sheets import sheet_events
 from ledgerloom.sources.sinks import append_to, publish
 
@@ -34,10 +34,18 @@ def build(spark: SparkSession, src: Sources, options: Options = Options()) -> Jo
     return result.merge(resolve_agents(src, result.tables, options))
 
 
-def publish_build(spark: SparkSession, src: Sources, path: str, options: Options = Options()) -> dict[str, int]:
-    """Build and write everything; returns the rows written per table."""
+def publish_build(
+    spark: SparkSession, src: Sources, path: str, options: Options = Options(), date_parts: bool = False
+) -> dict[str, int]:
+    """Build and write everything; returns the rows written per table.
+
+    With `date_parts` every partial date comes with its parts and the real dates it spans.
+    """
     result = build(spark, src, options)
-    return publish({**result.tables, "rejects": all_rejects(result)}, path)
+    tables = dict(result.tables)
+    if date_parts:
+        tables.update({n: with_date_parts(tables[n], *columns) for n, columns in DATE_COLUMNS.items()})
+    return publish({**tables, "rejects": all_rejects(result)}, path)
 
 
 def all_rejects(result: JobResult) -> DataFrame:

@@ -7,7 +7,7 @@ from ledgerloom.plans.agents import agent_professions, merged_clients
 from ledgerloom.plans.base import Options
 from ledgerloom.plans.build import all_rejects, append_coded, append_coded_to, audit_all, build, with_date_parts
 from ledgerloom.plans.report import summary
-from ledgerloom.plans.schemas import DDL, schema
+from ledgerloom.plans.schemas import DATE_COLUMNS, DDL, schema
 from ledgerloom.plans.sheets import consignments
 from ledgerloom.sources.sinks import append_to, publish, read_published
 
@@ -212,6 +212,9 @@ def test_append_with_codes_and_date_parts(tables, rows):
     batch = rows("place_code string, name string", [("plXXX", "Nancy"), (None, "Brest")])
     place = append_coded(tables, "place", batch, ["name"])
     assert get(place, "place_code", "name")[-2:] == [("pl011", "Brest"), ("pl012", "Nancy")]
+    for table, columns in DATE_COLUMNS.items():
+        added = with_date_parts(tables[table], *columns)
+        assert added.columns == [*tables[table].columns, *[f"{c}_parts" for c in columns]]
     parts = with_date_parts(tables["banned_list_record"], "date").select("date_parts.*").collect()
     assert {(r["year"], r["precision"], str(r["first"]), str(r["last"])) for r in parts} == {
         (1770, "year", "1770-01-01", "1770-12-31"), (None, None, "None", "None")}
