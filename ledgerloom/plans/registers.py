@@ -92,33 +92,42 @@ SALE_COLUMNS = {
 }
 
 
-def ledgers(src: Sources) -> JobResult:
-    """Ledger tables of unchanged shape, transactions with a direction, clients with parsed dates."""
+def unchanged(src: Sources, tables: dict[str, str]) -> JobResult:
+    """Copies of tables that keep their shape: {target: source}; most gain a row number."""
     result = JobResult()
-    for target, source in UNCHANGED_TABLES.items():
+    for target, source in tables.items():
         copied = copy_positional(src[source], schema(target))
         if "ID" in schema(target).names:
             result.tables[target] = numbered(target, copied, copied.columns)
         else:
             result.tables[target] = fill(target, copied)
+    return result
+
 
+def transactions(src: Sources) -> JobResult:
+    """Ledger entries with the direction that their wording stands for."""
     t = src["transactions"]
     directions = lookup(t.sparkSession, TRANSACTION_DIRECTIONS, "wording string, direction int")
     coded = decode(t, directions, "direction_of_transaction", "wording", {"direction": "direction"}, ci=True)
     renamed = coded.select(*[F.col(c).alias(n) for n, c in TRANSACTION_COLUMNS.items()])
-    result.tables["stn_transaction"] = numbered(
-        "stn_transaction", renamed, ["order_code", "transaction_code", *[c for c in renamed.columns if not c.endswith("_code")]]
+    others = [c for c in renamed.columns if c not in ("order_code", "transaction_code")]
+    return JobResult(
+        {"stn_transaction": numbered("stn_transaction", renamed, ["order_code", "transaction_code", *others])}
     )
 
-    clients = copy_positional(src["clients"], schema("stn_client"))
-    dated = clients
+
+def clients(src: Sources) -> JobResult:
+    """Clients with parsed first and last dates."""
+    copied = copy_positional(src["clients"], schema("stn_client"))
+    dated = copied
     for column in ("first_date", "last_date"):
         dated = dates.add_english_date(dated, column, column)
-    result.tables["stn_client"] = fill("stn_client", dated)
-    result.rejects["client dates"] = dates.english_date_rejects(
-        union_all([clients.select(F.col(c).alias("cell")) for c in ("first_date", "last_date")]), "cell"
-    )
-    return result
+    cells = union_all([copied.select(F.col(c).alias("cell")) for c in ("first_date", "last_date")])
+    return JobResult({"stn_client": fill("stn_client", dated)}, {"client dates": dates.english_date_rejects(cells, "cell")})
+
+
+def ledgers(src: Sources) -> JobResult:
+    return unchanged(src, UNCHANGED_TABLES).merge(transactions(src)).merge(clients(src))
 
 
 def registers(src: Sources) -> JobResult:
