@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as spark_entry
+from ledgerloom.catalog import all_entries
 from oracle import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -14,13 +14,14 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(spark_entry.queries()) == set(spark_entry.oracle_sql())
+    assert all(e.oracle for e in all_entries().values())
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+@pytest.mark.parametrize("name", sorted(all_entries()))
 def test_query_equals_sql(spark, duck, name):
-    df = spark_entry.queries()[name](spark, FOLDER)
-    _, problems = compare(df, duck, spark_entry.oracle_sql()[name])
+    entry = all_entries()[name]
+    df = entry.build(spark, FOLDER)
+    _, problems = compare(df, duck, entry.oracle)
     assert not problems
     text = df._jdf.queryExecution().toString()
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython", "MapInPandas"):
