@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, pii, toxicity
+from ledgerloom.llm import bpe, fingerprints, linededup, mixing, pii, toxicity, warc
 from ledgerloom.llm.common import table
 
 
@@ -18,6 +18,27 @@ def tokenizer_json(path: str | None = None) -> str:
         return file.read()
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.archive_folder(spark)
+    manifest = warc.write_archives(table(spark, sf_dir, "pages", "page_id", "url", "html"), folder)
+    return warc.read_archives(manifest, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = linededup.drop_later_copies(table(spark, sf_dir, "documents", "doc_id", "text"))
+    spans = F.transform("deleted", lambda s: F.concat_ws(":", s["start"], s["end"]))
+    return left.select("doc_id", "n_lines", "n_deleted", F.array_join(spans, ",").alias("deleted"), "text")
+
+
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.fingerprint_edits(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents", "doc_id", "source"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     coded = bpe.round_trip(docs, tokenizer_json())
@@ -44,9 +65,23 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
+    "op2_line_dedup": op2_line_dedup,
+    "op3_fingerprints": op3_fingerprints,
+    "op4_mixing": op4_mixing,
     "op5_bpe": op5_bpe,
     "op7_toxicity": op7_toxicity,
     "op10_pii": op10_pii,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS payload_bytes FROM pages
+        ), f AS (SELECT payload, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload)
+        SELECT page_id, payload_bytes, sha256(payload) AS payload_digest,
+               CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id > first THEN first END AS refers_to
+        FROM p LEFT JOIN f USING (payload)
+    """,
+}
