@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, fingerprints, linededup, mixing, pii, toxicity, warc
+from ledgerloom.llm import bpe, fingerprints, jaccard, linededup, mixing, pii, toxicity, warc
 from ledgerloom.llm.common import table
 
 
@@ -50,6 +50,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_fingerprints": op3_fingerprints,
     "op4_mixing": op4_mixing,
     "op5_bpe": op5_bpe,
+    "op6_jaccard": op6_jaccard,
     "op7_toxicity": op7_toxicity,
     "op10_pii": op10_pii,
 }
