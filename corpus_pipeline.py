@@ -5,32 +5,61 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, toxicity
+from ledgerloom.llm import bpe, jaccard, linededup, mixing, toxicity
 from ledgerloom.llm.common import table
 from ledgerloom.llm.queries import tokenizer_json
+from ledgerloom.session import store, write_once
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier doesn't find toxic."""
+    """Documents that the classifier, trained on the labelled ones, doesn't find toxic."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
     return docs.select(*COLUMNS).where(toxicity.score(model, F.col("text")) < 0.5)
 
 
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without later copies of line runs; those of which no word is left go."""
+    left = linededup.drop_later_copies(docs.select(*COLUMNS))
+    left = left.where("n_deleted = 0 OR text RLIKE '[^ \\\\t\\\\n\\\\r]'")
+    n_chars = F.when(F.col("n_deleted") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    return left.withColumn("n_chars", n_chars).select(*COLUMNS)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest id."""
+    found = jaccard.join(docs)
+    others = store(found.where("component_id <> doc_id").select("doc_id").distinct(), "near-copies")
+    side = F.broadcast(others.df) if others.fits_broadcast else others.df
+    return docs.select(*COLUMNS).join(side, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents in the order of the mix."""
+    return mixing.mix(docs.select(*COLUMNS)).orderBy("mix_position").select(*COLUMNS)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document that is left."""
+    """Token ids of every document that is left, and the text that they decode to."""
     return bpe.round_trip(docs, tokenizer_json())
 
 
-STAGES = [("toxicity", drop_toxic), ("bpe", encode)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line dedup", drop_repeated_lines),
+    ("n-gram jaccard join", keep_one_of_each),
+    ("mixing", mix_sources),
+    ("bpe", encode),
+]
 
-#: The stages learn a classifier and run a tokenizer, which SQL can't express; tests/llm compares with brute force.
+#: The stages train a classifier and run a tokenizer, which SQL can't express; tests/llm compares with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows; every other stage is written before the next one reads it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = write_once(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -18,8 +18,8 @@ def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{folder}/{name}.parquet").select(*columns)
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: int = 1) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches with about SLICE_BYTES of text or binary in `column`, so that a task's memory is bounded."""
+def pieces(batches: Iterator[pa.RecordBatch], column: int = 1, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with about `size` bytes of text or binary in `column`, so that a task's memory is bounded."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -27,7 +27,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: int = 1) -> Iterator[pa.Re
         start = 0
         while start < batch.num_rows:
             base = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, base + SLICE_BYTES, side="right")))
+            stop = max(start + 1, int(np.searchsorted(ends, base + size, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, fingerprints, jaccard, linededup, mixing, pii, topk, toxicity, warc
+from ledgerloom.llm import bpe, fingerprints, jaccard, linededup, mixing, pii, suffixes, topk, toxicity, warc
 from ledgerloom.llm.common import table
 
 
@@ -61,6 +61,18 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffixes.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return left.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 50 == 0)
 
@@ -80,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe": op5_bpe,
     "op6_jaccard": op6_jaccard,
     "op7_toxicity": op7_toxicity,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_topk": op9_topk,
     "op10_pii": op10_pii,
 }
