@@ -2,8 +2,8 @@
 
 The field is trained in numpy on the labelled lines of TAUGHT (a small table,
 the same whatever the data), and decoded by Viterbi, many windows of a slice
-side by side.  It reads the windows of REACH characters around each digit or at
-sign; everywhere else it says "nothing" by definition.  Its spans are added only
+side by side.  It reads the windows of REACH characters around each digit, at
+sign or spelt sign; everywhere else it says "nothing" by definition.  Its spans are added only
 where they touch none of the exact patterns, so that those always stay.
 """
 
@@ -103,7 +103,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_SIGN = re.compile(r"[0-9@]")
+_SIGN = re.compile(r"[0-9@]| dot |[(\[](?:at|dot)[)\]]")
 _AWAY = {c: None for c in map(ord, " ().-+")}
 
 
