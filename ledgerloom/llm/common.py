@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: An Arrow slice handed to one step of a task holds about so many bytes of text, or a single row.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import shingles
-from ledgerloom.llm.common import pieces
+from ledgerloom.llm.common import SLICE_BYTES, pieces
 from ledgerloom.llm.components import components
 from ledgerloom.session import Stored, store, write_once
 
@@ -214,16 +214,14 @@ def compared(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, fan, own = None, None, None
-        for batch in batches:
-            a_of, fan_of, second, keys, packed = (c.to_pylist() for c in batch.columns)
-            found = shingles.sets([zlib.decompress(x) for x in packed])
+        for heads, texts in unpacked(batches):
             rows = []
-            for i, names in enumerate(found):
-                if not second[i]:
-                    a, fan, own = a_of[i], fan_of[i], names
-                elif (a, fan) == (a_of[i], fan_of[i]):
+            for (a_of, fan_of, second, key), names in zip(heads, shingles.sets(texts)):
+                if not second:
+                    a, fan, own = a_of, fan_of, names
+                elif (a, fan) == (a_of, fan_of):
                     at = np.minimum(np.searchsorted(own, names), len(own) - 1)
-                    rows.append((a, keys[i], int((own[at] == names).sum()), len(own), len(names)))
+                    rows.append((a, key, int((own[at] == names).sum()), len(own), len(names)))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)], names=["a", "b", "overlap", "na", "nb"])
 
@@ -233,6 +231,23 @@ def compared(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return dealt.mapInArrow(compare, "a long, b long, overlap long, na long, nb long").distinct()
 
 
+def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[tuple], list[bytes]]]:
+    """Texts and what comes with them, about SLICE_BYTES of text at a time."""
+    heads, texts, size = [], [], 0
+    for batch in batches:
+        *others, packed = batch.columns
+        for head, data in zip(zip(*(c.to_pylist() for c in others)), packed):
+            text = zlib.decompress(data.as_py())
+            heads.append(head)
+            texts.append(text)
+            size += len(text)
+            if size >= SLICE_BYTES:
+                yield heads, texts
+                heads, texts, size = [], [], 0
+    if heads:
+        yield heads, texts
+
+
 _PACKED = pa.schema([("a", pa.int64()), ("fan", pa.int32()), ("second", pa.bool_()), ("key", pa.int64()), ("packed", pa.binary())])
 
 
