@@ -107,15 +107,21 @@ def append_with_codes(spark, d):
 @query(
     "row_uuid",
     """
-    WITH h AS (SELECT c_custkey, md5(c_custkey || '|' || c_name) AS h FROM customer)
+    WITH c AS (SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN NULL WHEN 1 THEN '~' WHEN 2 THEN c_name || '|' ELSE c_name END AS a,
+                      CASE c_custkey % 3 WHEN 0 THEN NULL WHEN 1 THEN '|x' ELSE c_mktsegment END AS b FROM customer),
+    h AS (SELECT c_custkey, md5(coalesce(length(a) || ':' || a, '~') || coalesce(length(b) || ':' || b, '~')) AS h FROM c)
     SELECT c_custkey, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-' || substr(h, 21, 12) AS "UUID"
     FROM h
     """,
 )
 def row_uuid(spark, d):
-    return Tables(spark, d)("customer", "c_custkey", "c_name").select(
-        "c_custkey", codes.row_uuid("c_custkey", "c_name").alias("UUID")
+    key = F.col("c_custkey")
+    named = Tables(spark, d)("customer", "c_custkey", "c_name", "c_mktsegment").select(
+        "c_custkey",
+        F.when(key % 4 == 1, "~").when(key % 4 == 2, F.concat("c_name", F.lit("|"))).when(key % 4 == 3, F.col("c_name")).alias("a"),
+        F.when(key % 3 == 1, "|x").when(key % 3 == 2, F.col("c_mktsegment")).alias("b"),
     )
+    return named.select("c_custkey", codes.row_uuid("a", "b").alias("UUID"))
 
 
 @query(

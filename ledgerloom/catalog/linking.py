@@ -39,7 +39,7 @@ def lookup_decode(spark, d):
 @query(
     "crosswalk_insert",
     """
-    WITH w AS (SELECT p_partkey, trim(unnest(string_split(replace(p_name, ' ', ' , '), ','))) AS word
+    WITH w AS (SELECT p_partkey, trim(unnest(string_split(replace(p_name, ' ', chr(10) || ',' || chr(9)), ',')), chr(9) || chr(10) || ' ') AS word
                FROM part WHERE length(p_name) > 1),
     m AS (SELECT DISTINCT word, 'k-' || word AS code FROM w WHERE length(word) <> 4)
     SELECT p_partkey, m.code AS keyword_code FROM w LEFT JOIN m ON w.word = m.word
@@ -48,7 +48,7 @@ def lookup_decode(spark, d):
 def crosswalk_insert(spark, d):
     """Comma lists of keywords, one row per item, passed through a keyword map that lacks some of them."""
     part = Tables(spark, d)("part", "p_partkey", "p_name").filter(predicates.min_len("p_name", 1))
-    listed = part.withColumn("keywords", F.replace("p_name", F.lit(" "), F.lit(" , ")))
+    listed = part.withColumn("keywords", F.replace("p_name", F.lit(" "), F.lit("\n,\t")))
     words = listed.select("p_partkey", F.explode(text.comma_items("keywords")).alias("word"))
     pairs = words.select("word").distinct().filter(F.char_length("word") != 4)
     keyword_map = one_to_one(pairs.withColumn("code", F.concat(F.lit("k-"), "word")), "word", "code")

@@ -12,7 +12,7 @@ from ledgerloom.operators.merge import Register
     """
     WITH p AS (SELECT p_partkey, CASE WHEN p_partkey % 50 <> 0 THEN p_brand END AS brand, p_size::BIGINT AS size FROM part),
     t AS (SELECT brand, size, min(p_partkey) AS src FROM p WHERE p_partkey % 2 = 0 AND brand IS NOT NULL GROUP BY ALL),
-    b AS (SELECT * FROM p WHERE p_partkey % 3 <> 1)
+    b AS (SELECT * FROM p WHERE p_partkey % 2 = 1 OR p_partkey % 3 = 0)
     SELECT brand, size, src FROM t
     UNION ALL
     SELECT brand, size, min(p_partkey) FROM b WHERE brand IS NOT NULL
@@ -27,7 +27,7 @@ def insert_if_absent(spark, d):
         F.col("p_partkey").alias("src"),
     )
     table = merge.first_by(p.filter("src % 2 = 0 and brand is not null"), ["brand", "size"], ["src"])
-    return merge.insert_if_absent(table, p.filter("src % 3 <> 1"), ["brand", "size"], ["src"])
+    return merge.insert_if_absent(table, p.filter("src % 2 = 1 or src % 3 = 0"), ["brand", "size"], ["src"])
 
 
 @query(
@@ -38,12 +38,13 @@ def insert_if_absent(spark, d):
       SELECT p_partkey + CASE WHEN p_partkey % 4 = 0 THEN 1000000000 ELSE 0 END AS code, upper(p_name) AS title,
              p_type AS work_code, p_size::BIGINT * 100 AS volumes, p_partkey * 2 AS r FROM part WHERE p_partkey % 2 = 0),
     b AS (SELECT * FROM b0 UNION ALL
-          SELECT code, 'again ' || title, 'second ' || work_code, NULL, r + 1 FROM b0 WHERE r % 3 = 0),
-    f AS (SELECT code, arg_max(title, r) AS title, arg_min(work_code, r) AS work_code,
+          SELECT code, 'again ' || title, 'second ' || work_code, NULL, r + 1 FROM b0 WHERE r % 3 = 0
+          UNION ALL SELECT NULL, title, work_code, volumes, r + 1000000000 FROM b0 WHERE r % 7 = 0),
+    f AS (SELECT TRUE AS k, code, arg_max(title, r) AS title, arg_min(work_code, r) AS work_code,
                  arg_max(struct_pack(v := volumes), r).v AS volumes FROM b GROUP BY code)
-    SELECT coalesce(t.code, f.code) AS code, CASE WHEN f.code IS NULL THEN t.title ELSE f.title END AS title,
+    SELECT coalesce(t.code, f.code) AS code, CASE WHEN f.k IS NULL THEN t.title ELSE f.title END AS title,
            CASE WHEN t.code IS NULL THEN f.work_code ELSE t.work_code END AS work_code,
-           CASE WHEN f.code IS NULL THEN t.volumes ELSE f.volumes END AS volumes
+           CASE WHEN f.k IS NULL THEN t.volumes ELSE f.volumes END AS volumes
     FROM t FULL OUTER JOIN f ON t.code = f.code
     """,
 )
@@ -69,7 +70,8 @@ def upsert_subset(spark, d):
         F.lit(None).cast("long").alias("volumes"),
         (F.col("_row") + 1).alias("_row"),
     )
-    return merge.upsert(table, once.unionByName(again), "code", ["title", "volumes"])
+    keyless = once.filter("_row % 7 = 0").withColumns({"code": F.lit(None).cast("long"), "_row": F.col("_row") + 1_000_000_000})
+    return merge.upsert(table, once.unionByName(again).unionByName(keyless), "code", ["title", "volumes"])
 
 
 @query(
@@ -82,10 +84,11 @@ def upsert_subset(spark, d):
       SELECT 1, o_orderkey, o_custkey, 'order ' || o_orderkey, NULL,
              CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END, ' Sales notes: ' FROM orders
       UNION ALL
-      SELECT 2, 0, s_suppkey, s_name, NULL, CASE WHEN s_acctbal > 0 THEN 'n' || s_nationkey END, ' Stamp notes: ' FROM supplier
+      SELECT 2, 0, s_suppkey % 40, CASE WHEN s_suppkey % 3 = 0 THEN 'same' ELSE s_name END, NULL, CASE WHEN s_suppkey % 3 = 0 THEN 'n' WHEN s_acctbal > 0 THEN 'n' || s_nationkey END, ' Stamp notes: ' FROM supplier
       UNION ALL
       SELECT 3, event_id, user_id + 1400, 'user', 'U', CASE WHEN event_type <> 'error' THEN event_type END, ' Event notes: ' FROM events),
-    k AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY prio, r) AS i, count(*) OVER (PARTITION BY code) AS n FROM r),
+    k AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY prio, r, name NULLS FIRST, gender NULLS FIRST, notes NULLS FIRST) AS i,
+                 count(*) OVER (PARTITION BY code) AS n FROM r),
     e AS (SELECT *, max(CASE WHEN notes IS NULL AND i > 1 THEN i ELSE 0 END) OVER (PARTITION BY code) AS cut FROM k)
     SELECT code, max(name) FILTER (WHERE i = 1) AS name, max(gender) FILTER (WHERE i = 1) AS gender,
            CASE WHEN max(cut) = max(n) AND max(n) > 1 THEN NULL
@@ -94,7 +97,7 @@ def upsert_subset(spark, d):
     """,
 )
 def precedence_merge(spark, d):
-    """Four registers, two of them with many rows per code and with NULL notes in between."""
+    """Four registers, three of them with many rows per code, equal ones too, and with NULL notes in between."""
     t = Tables(spark, d)
     customers = t("customer", "c_custkey", "c_name", "c_mktsegment").filter("c_custkey % 5 <> 0")
     clients = customers.select(
@@ -110,9 +113,9 @@ def precedence_merge(spark, d):
         "o_orderkey",
     )
     inspectors = t("supplier").select(
-        F.col("s_suppkey").alias("code"),
-        F.col("s_name").alias("name"),
-        F.when(F.col("s_acctbal") > 0, F.concat(F.lit("n"), "s_nationkey")).alias("notes"),
+        (F.col("s_suppkey") % 40).alias("code"),
+        F.when(F.col("s_suppkey") % 3 == 0, "same").otherwise(F.col("s_name")).alias("name"),
+        F.when(F.col("s_suppkey") % 3 == 0, "n").when(F.col("s_acctbal") > 0, F.concat(F.lit("n"), "s_nationkey")).alias("notes"),
     )
     users = t("events", "event_id", "user_id", "event_type").select(
         (F.col("user_id") + 1400).alias("code"),

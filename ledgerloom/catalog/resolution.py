@@ -28,12 +28,13 @@ WITH client AS (
 r AS (
   SELECT 0 AS prio, 0::BIGINT AS r, client_code AS code, name, gender, partnership AS corporate, NULL AS places, notes, '' AS label FROM client
   UNION ALL
-  SELECT 1, 0, 'cl' || lpad((s_suppkey * 20)::VARCHAR, 12, '0'), s_name, NULL, NULL,
+  SELECT 1, 0, 'cl' || lpad(((s_suppkey - s_suppkey % 3) * 20)::VARCHAR, 12, '0'), s_name, NULL, NULL,
          'pl' || s_nationkey || ', pl' || (s_nationkey + 1) || ';  pl9', CASE WHEN s_acctbal > 0 THEN 's' || s_nationkey END, ' Stock notes: ' FROM supplier
   UNION ALL
   SELECT 2, event_id, 'cl' || lpad((user_id * 13)::VARCHAR, 12, '0'), 'user ' || user_id, NULL, NULL, NULL,
          CASE WHEN event_type <> 'error' THEN event_type END, ' Event notes: ' FROM events),
-k AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY prio, r) AS i, count(*) OVER (PARTITION BY code) AS n FROM r),
+k AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY prio, r, name NULLS FIRST, gender NULLS FIRST, corporate NULLS FIRST, places NULLS FIRST, notes NULLS FIRST) AS i,
+             count(*) OVER (PARTITION BY code) AS n FROM r),
 e AS (SELECT *, max(CASE WHEN notes IS NULL AND i > 1 THEN i ELSE 0 END) OVER (PARTITION BY code) AS cut FROM k),
 m AS (
   SELECT code AS client_code, max(name) FILTER (WHERE i = 1) AS name, max(gender) FILTER (WHERE i = 1) AS gender,
@@ -43,7 +44,7 @@ m AS (
   FROM e GROUP BY code),
 link AS (
   SELECT DISTINCT 'cl' || lpad(o_custkey::VARCHAR, 12, '0') AS client_code, 'id' || lpad(l_suppkey::VARCHAR, 12, '0') AS agent_code
-  FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_custkey % 3 = 0 AND l_linenumber = 1),
+  FROM orders JOIN lineitem ON o_orderkey = l_orderkey),
 linked AS (SELECT client_code, agent_code FROM link LEFT JOIN client USING (client_code) WHERE partnership IS NOT TRUE),
 last_code AS (SELECT max(s_suppkey) AS n FROM supplier),
 reviewed AS (
@@ -102,7 +103,7 @@ def _sources(t: Tables):
     supplier = t("supplier")
     place = F.col("s_nationkey")
     dealers = supplier.select(
-        _code("cl", F.col("s_suppkey") * 20, 12).alias("client_code"),
+        _code("cl", (F.col("s_suppkey") - F.col("s_suppkey") % 3) * 20, 12).alias("client_code"),
         F.col("s_name").alias("name"),
         F.concat(F.lit("pl"), place, F.lit(", pl"), place + 1, F.lit(";  pl9")).alias("place_codes"),
         F.when(F.col("s_acctbal") > 0, F.concat(F.lit("s"), place)).alias("notes"),
@@ -115,10 +116,9 @@ def _sources(t: Tables):
     )
     people = supplier.select(_code("id", F.col("s_suppkey"), 12).alias("agent_code"), F.col("s_name").alias("name"))
     orders = t("orders", "o_orderkey", "o_custkey")
-    lines = t("lineitem", "l_orderkey", "l_suppkey", "l_linenumber").filter("l_linenumber = 1")
+    lines = t("lineitem", "l_orderkey", "l_suppkey")
     links = (
-        orders.filter("o_custkey % 3 = 0")
-        .join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+        orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
         .select(_code("cl", F.col("o_custkey"), 12).alias("client_code"), _code("id", F.col("l_suppkey"), 12).alias("agent_code"))
         .distinct()
     )

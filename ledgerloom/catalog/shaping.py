@@ -183,15 +183,15 @@ def split_counts_query(spark, d):
     WITH s AS (
       SELECT o_orderkey,
              CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 11 = 1 THEN 'Null entry;x'
-                  WHEN o_orderkey % 2 = 0 THEN o_orderpriority || '; ' || o_orderstatus || ' ;third'
+                  WHEN o_orderkey % 2 = 0 THEN chr(9) || o_orderpriority || ';' || chr(10) || o_orderstatus || ' ' || chr(13) || ';third' || chr(10)
                   ELSE o_orderpriority END AS names,
-             CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE 'c' || o_custkey || '; d' || o_custkey END AS codes
+             CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE 'c' || o_custkey || ';' || chr(160) || 'd' || o_custkey END AS codes
       FROM orders),
     z AS (
       SELECT o_orderkey, string_split(names, ';') AS a, string_split(codes, ';') AS b
       FROM s WHERE names IS NOT NULL AND codes IS NOT NULL AND NOT starts_with(lower(names), 'null')),
     i AS (SELECT *, unnest(generate_series(1, least(len(a), len(b)))) AS k FROM z)
-    SELECT o_orderkey, trim(a[k]) AS name, trim(b[k]) AS agent_code FROM i
+    SELECT o_orderkey, trim(a[k], chr(9) || chr(10) || chr(13) || ' ') AS name, trim(b[k], chr(160) || ' ') AS agent_code FROM i
     """,
 )
 def zip_explode(spark, d):
@@ -202,11 +202,11 @@ def zip_explode(spark, d):
         .when(key % 11 == 1, "Null entry;x")
         .when(
             key % 2 == 0,
-            F.concat("o_orderpriority", F.lit("; "), "o_orderstatus", F.lit(" ;third")),
+            F.concat(F.lit("\t"), "o_orderpriority", F.lit(";\n"), "o_orderstatus", F.lit(" \r;third\n")),
         )
         .otherwise(F.col("o_orderpriority"))
         .alias("names"),
-        F.when(key % 13 != 0, F.concat(F.lit("c"), "o_custkey", F.lit("; d"), "o_custkey")).alias("codes"),
+        F.when(key % 13 != 0, F.concat(F.lit("c"), "o_custkey", F.lit(";\xa0d"), "o_custkey")).alias("codes"),
     )
     return text.explode_pairs(s, "names", "codes", "name", "agent_code", ["o_orderkey"])
 
@@ -222,14 +222,14 @@ ROLES = [(1, "Syndic"), (2, "Adjoint"), (3, "Auctioneer")]
              'cl' || lpad((o_custkey % 9999)::VARCHAR, 4, '0') || CASE o_orderstatus WHEN 'P' THEN ' (Adjoint)'
                  WHEN 'F' THEN ' (Syndic)' ELSE '' END
              || ', cb' || lpad((o_orderkey % 999)::VARCHAR, 3, '0') || ' (' || CASE WHEN o_orderkey % 5 = 0 THEN 'Maire' ELSE 'Auctioneer' END || ')'
-             || CASE WHEN o_orderkey % 3 = 0 THEN ', nobody' ELSE '' END AS agents
+             || CASE WHEN o_orderkey % 3 = 0 THEN ',' || chr(9) || 'nobody' || chr(10) ELSE '' END AS agents
       FROM orders),
     i AS (SELECT o_orderkey, unnest(string_split(agents, ',')) AS item FROM s),
     p AS (
       SELECT o_orderkey, regexp_matches(item, '(c[a-z][0-9]{3,4}) \((\w+)\)') AS hit, item,
              regexp_extract(item, '(c[a-z][0-9]{3,4}) \((\w+)\)', 1) AS code,
              regexp_extract(item, '(c[a-z][0-9]{3,4}) \((\w+)\)', 2) AS role FROM i)
-    SELECT o_orderkey, CASE WHEN hit THEN code ELSE trim(item) END AS administrator_id, r.id AS administrator_role,
+    SELECT o_orderkey, CASE WHEN hit THEN code ELSE trim(item, chr(9) || chr(10) || ' ') END AS administrator_id, r.id AS administrator_role,
            (hit AND r.id IS NULL) AS unknown_role
     FROM p LEFT JOIN (VALUES (1::BIGINT, 'Syndic'), (2, 'Adjoint'), (3, 'Auctioneer')) r(id, role)
       ON hit AND p.role = r.role
@@ -248,7 +248,7 @@ def regex_roles(spark, d):
             F.lit(", cb"),
             F.lpad((key % 999).cast("string"), 3, "0"),
             F.when(key % 5 == 0, " (Maire)").otherwise(" (Auctioneer)"),
-            F.when(key % 3 == 0, ", nobody").otherwise(""),
+            F.when(key % 3 == 0, ",\tnobody\n").otherwise(""),
         ).alias("agents"),
     )
     rows = text.agents_with_roles(s, "agents", ["o_orderkey"], "administrator_id", "role")
@@ -313,7 +313,7 @@ def clean_numbers(spark, d):
              CASE c_custkey % 4 WHEN 0 THEN 'yes' WHEN 1 THEN 'no' WHEN 2 THEN 'Yes' END AS corporate,
              CASE c_custkey % 6 WHEN 0 THEN 'mixed' WHEN 1 THEN 'male' WHEN 2 THEN 'Female' WHEN 3 THEN '?'
                   WHEN 4 THEN 'M' END AS sex,
-             ' ' || c_mktsegment || '  ' AS origin
+             ' ' || chr(9) || c_mktsegment || chr(10) || ' ' AS origin
       FROM customer)
     SELECT c_custkey,
            CASE WHEN starts_with(acquit, 'y') THEN 'yes' WHEN starts_with(acquit, 'no') THEN 'no' END AS acquit,
@@ -321,7 +321,7 @@ def clean_numbers(spark, d):
            CASE WHEN lower(sex) LIKE 'mixed%' THEN 'B' WHEN lower(sex) LIKE 'm%' THEN 'M'
                 WHEN lower(sex) LIKE 'f%' THEN 'F' ELSE sex END AS sex,
            coalesce(lower(sex) LIKE 'mixed%', FALSE) AS mixed,
-           left(trim(origin), 5) AS origin FROM s
+           left(trim(origin, chr(9) || chr(10) || ' '), 5) AS origin FROM s
     """,
 )
 def normalise_flags(spark, d):
@@ -332,7 +332,7 @@ def normalise_flags(spark, d):
         F.when(key % 4 == 0, "yes").when(key % 4 == 1, "no").when(key % 4 == 2, "Yes").alias("corporate"),
         F.when(key % 6 == 0, "mixed").when(key % 6 == 1, "male").when(key % 6 == 2, "Female")
         .when(key % 6 == 3, "?").when(key % 6 == 4, "M").alias("sex"),
-        F.concat(F.lit(" "), "c_mktsegment", F.lit("  ")).alias("origin"),
+        F.concat(F.lit(" \t"), "c_mktsegment", F.lit("\n ")).alias("origin"),
     )
     s = text.trim_all(s, ["origin"])
     return s.select(
@@ -471,10 +471,10 @@ def partial_dates(spark, d):
     """
     WITH s AS (
       SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN '1/2/3/4' WHEN 1 THEN '5/' || year(o_orderdate)
-               ELSE day(o_orderdate) || '/' || month(o_orderdate) || '/' || year(o_orderdate) || '; 14/12/' || (year(o_orderdate) + 1) END AS t
+               ELSE day(o_orderdate) || '/' || month(o_orderdate) || '/' || year(o_orderdate) || ' ;' || chr(10) || '14/12/' || (year(o_orderdate) + 1) || chr(9) END AS t
       FROM orders),
     i AS (SELECT o_orderkey, unnest(string_split(t, ';')) AS item FROM s),
-    p AS (SELECT o_orderkey, string_split(trim(item), '/') AS x FROM i)
+    p AS (SELECT o_orderkey, string_split(trim(item, chr(9) || chr(10) || ' '), '/') AS x FROM i)
     SELECT o_orderkey, CASE WHEN len(x) = 3 THEN x[3] || '-' || x[2] || '-' || x[1] END AS date,
            CASE WHEN len(x) > 3 THEN 'too many parts' WHEN len(x) < 3 THEN 'too few parts' END AS reject
     FROM p
@@ -487,7 +487,7 @@ def date_list_explode(spark, d):
         F.when(n == 0, "1/2/3/4")
         .when(n == 1, F.concat(F.lit("5/"), F.year(day)))
         .otherwise(
-            F.concat(F.concat_ws("/", F.dayofmonth(day), F.month(day), F.year(day)), F.lit("; 14/12/"), F.year(day) + 1)
+            F.concat(F.concat_ws("/", F.dayofmonth(day), F.month(day), F.year(day)), F.lit(" ;\n14/12/"), F.year(day) + 1, F.lit("\t"))
         )
         .alias("t"),
     )

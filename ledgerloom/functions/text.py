@@ -12,6 +12,11 @@ from pyspark.sql import types as T
 AGENT_WITH_ROLE = r"(c[a-z][0-9]{3,4}) \((\w+)\)"
 LIST_DELIMITER = r",\s*|;\s*"
 PLACE_CODE_LENGTH = 5
+# Fixed value: all that counts as white space at the ends of a cell.
+WHITE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def _col(c: Column | str) -> Column:
@@ -20,13 +25,18 @@ def _col(c: Column | str) -> Column:
 
 # -- cells ------------------------------------------------------------------
 
+def strip(c: Column | str) -> Column:
+    """Text without white space at its ends, line breaks and tabs included."""
+    return F.btrim(_col(c), F.lit(WHITE))
+
+
 def empty_to_null(c: Column | str) -> Column:
     return F.nullif(_col(c), F.lit(""))
 
 
 def to_int(c: Column | str) -> Column:
     """Text as a whole number, NULL where it is none."""
-    return F.trim(_col(c)).try_cast("int")
+    return strip(c).try_cast("int")
 
 
 def thousands_to_int(c: Column | str) -> Column:
@@ -41,7 +51,7 @@ def keep_if_int(c: Column | str) -> Column:
 
 def unreadable_number(c: Column | str) -> Column:
     """True for a cell that has content but no whole number (for reject counts)."""
-    text = F.trim(_col(c))
+    text = strip(c)
     return text.isNotNull() & (text != "") & thousands_to_int(c).isNull()
 
 
@@ -59,7 +69,7 @@ def null_words(df: DataFrame) -> DataFrame:
 
 def trim_all(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     names = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    return df.withColumns({n: F.trim(F.col(n)) for n in names})
+    return df.withColumns({n: strip(n) for n in names})
 
 
 def first_code(c: Column | str, length: int = PLACE_CODE_LENGTH) -> Column:
@@ -166,7 +176,7 @@ def trimmed_append(left: Column, right: Column) -> Column:
 
 def comma_items(c: Column | str) -> Column:
     """Items of a comma list, trimmed; use under explode."""
-    return F.transform(F.split(_col(c), ","), lambda x: F.trim(x))
+    return F.transform(F.split(_col(c), ","), strip)
 
 
 def mixed_items(c: Column | str) -> Column:
@@ -180,7 +190,7 @@ def paired_items(a: Column | str, b: Column | str, sep: str = ";") -> Column:
     n = F.least(F.size(left), F.size(right))
     pairs = F.arrays_zip(F.slice(left, 1, n).alias("l"), F.slice(right, 1, n).alias("r"))
     return F.transform(
-        pairs, lambda p: F.struct(F.trim(p["l"]).alias("left"), F.trim(p["r"]).alias("right"))
+        pairs, lambda p: F.struct(strip(p["l"]).alias("left"), strip(p["r"]).alias("right"))
     )
 
 
@@ -209,6 +219,6 @@ def agents_with_roles(df: DataFrame, c: str, keep: list[str], code: str, role: s
     hit = F.col("_1") != ""
     return found.select(
         *keep,
-        F.when(hit, F.col("_1")).otherwise(F.trim("_item")).alias(code),
+        F.when(hit, F.col("_1")).otherwise(strip("_item")).alias(code),
         F.when(hit, F.col("_2")).alias(role),
     )

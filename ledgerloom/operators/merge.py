@@ -6,11 +6,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.operators.joins import missing_from, splice
 from ledgerloom.operators.shape import conform
 from ledgerloom.operators.skew import HOT_ROWS, join_key, join_text, lookup_join, present_keys, some_keys, union_all
-from ledgerloom.session import Stored, store
+from ledgerloom.session import Stored, store, write_once
 
 
 def _one_per_key(df: DataFrame, key: list[str], order: list[str | Column], last: bool) -> DataFrame:
@@ -104,9 +105,13 @@ def upsert(
 ) -> DataFrame:
     """Update a subset of columns of known keys, insert unknown keys with all columns.
 
+    Batch rows without a key match nothing: reduced to one, they are inserted.
+    Keys and values of the batch are cast to the types of `table` first.
     A batch counted as small is broadcast and `table` stays where it is; a large
     one meets it in a single full outer join, both sides being unique by key.
     """
+    kinds = {f.name: f.dataType for f in table.schema.fields}
+    batch = batch.withColumns({c: F.col(c).cast(kinds[c]) for c in batch.columns if c in kinds})
     reduced = store(reduce_batch(batch, key, update_cols, order), "batch")
     if reduced.fits_broadcast:
         fresh = {f"_new_{c}": F.col(c) for c in update_cols}
@@ -123,9 +128,10 @@ def upsert(
         fresh_rows = reduced.df.join(taken, join_key(key) == F.col("_key"), "left_anti")
         return updated.unionByName(conform(fresh_rows, table.schema, defaults))
 
-    inserts = conform(reduced.df, table.schema, defaults)
-    both = table.alias("t").join(inserts.alias("b"), F.col(f"t.{key}") == F.col(f"b.{key}"), "full_outer")
-    old, new = F.col(f"t.{key}").isNotNull(), F.col(f"b.{key}").isNotNull()
+    inserts = conform(reduced.df, table.schema, defaults).withColumn("_new", F.lit(True))
+    known = table.withColumn("_old", F.lit(True))
+    both = known.alias("t").join(inserts.alias("b"), F.col(f"t.{key}") == F.col(f"b.{key}"), "full_outer")
+    old, new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
     return both.select(
         *[
             F.when(new & (~old | F.lit(c in update_cols)), F.col(f"b.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
@@ -151,7 +157,11 @@ def precedence_merge(
     keep_notes: bool = False,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Merge registers: the first to supply a code gives all columns, later ones append a labelled note.
+    """Merge registers: the first row to supply a code gives all columns, later ones append a labelled note.
+
+    Rows of a register come in order of all its order columns, and then of all
+    their values, NULL first; without order columns by the values alone.  Equal
+    rows count one by one.
 
     Appending a NULL note empties the text collected so far, and the next note
     starts anew; with `keep_notes` a NULL note appends nothing.
@@ -161,6 +171,22 @@ def precedence_merge(
     group's rows in one place.
     """
     types = {f.name: f.dataType for r in reversed(registers) for f in r.df.schema.fields}
+    depth = max((len(r.order) for r in registers), default=0)
+
+    def places(r: Register) -> list[Column]:
+        """The order columns in slots that all registers share: numbers, times and texts each in one of its own."""
+        slots = []
+        for i in range(depth):
+            kind = r.df.schema[r.order[i]].dataType if i < len(r.order) else T.NullType()
+            own = F.col(r.order[i]) if i < len(r.order) else F.lit(None)
+            number, time = isinstance(kind, (T.NumericType, T.BooleanType)), isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType))
+            slots += [
+                (own if number and not isinstance(kind, T.FractionalType) else F.lit(None)).cast("long").alias(f"whole{i}"),
+                (own if isinstance(kind, T.FractionalType) else F.lit(None)).cast("double").alias(f"number{i}"),
+                (own if time else F.lit(None)).cast("timestamp").alias(f"time{i}"),
+                (F.lit(None) if number or time else own).cast("string").alias(f"text{i}"),
+            ]
+        return slots
 
     def cell(r: Register, c: str) -> Column:
         value = F.col(c) if c in r.df.columns else F.lit(None)
@@ -171,19 +197,18 @@ def precedence_merge(
             r.df.select(
                 key,
                 *[cell(r, c) for c in [*columns, note]],
-                F.struct(
-                    F.lit(prio).alias("prio"),
-                    (F.col(r.order[0]).cast("long") if r.order else F.lit(0).cast("long")).alias("row"),
-                ).alias("_ord"),
+                F.struct(F.lit(prio).alias("prio"), *places(r), *[cell(r, c) for c in [*columns, note]]).alias("_ord"),
                 F.lit(r.label).alias("_label"),
             )
             for prio, r in enumerate(registers)
         ]
     )
+    # Equal rows as one with their number, which needs no order among them; read twice below.
+    tagged = write_once(tagged.groupBy(key, *columns, note, "_ord", "_label").agg(F.count(F.lit(1)).cast("int").alias("_m")), "registers")
     empty = F.col(note).isNull()
     heads = tagged.groupBy(key).agg(
         F.min(F.struct("_ord", F.struct(*columns, note).alias("v"))).alias("_head"),
-        F.count(F.lit(1)).alias("_n"),
+        F.sum("_m").alias("_n"),
         F.max("_ord").alias("_last_ord"),
         F.max(F.when(empty, F.col("_ord"))).alias("_empty_ord"),
     )
@@ -206,8 +231,10 @@ def precedence_merge(
     notes = notes.filter(F.col("_several") & F.col(note).isNotNull())
     if not keep_notes:
         notes = notes.filter(F.col("_e").isNull() | (F.col("_e") == F.col("_f")) | (F.col("_ord") > F.col("_e")))
-    piece = F.when(F.col("_ord") == F.col("_f"), F.col(note)).otherwise(F.concat("_label", note))
-    order = [F.col("_ord"), F.col(note)]
+    labelled = F.concat("_label", note)
+    head = F.concat(note, F.repeat(labelled, F.col("_m") - 1))
+    piece = F.when(F.col("_ord") == F.col("_f"), head).otherwise(F.repeat(labelled, F.col("_m")))
+    order = [F.col("_ord")]
     texts = join_text(notes, key, piece, order, "", "_text", hot=hot)
     merged = splice(written.df, texts, (key, key), {"_text": "_text"})
     result = F.when(F.col("_n") == 1, F.col("_first_note"))

@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.session import Stored, write_once
 
@@ -57,6 +58,28 @@ def some_keys(keys: DataFrame) -> DataFrame | None:
     return write_once(keys, "hot-keys")
 
 
+def alike(left: DataFrame, left_key: Column, right: DataFrame, right_key: Column) -> tuple[Column, Column]:
+    """Both keys in their common type, so that equal keys also read the same as text.
+
+    Refuses a text key against one of another kind, which would be compared by its spelling.
+    """
+    kinds = [df.select(key.alias("k")).schema[0].dataType for df, key in ((left, left_key), (right, right_key))]
+    a, b = kinds
+    if a == b:
+        common = a
+    elif T.NullType() in kinds:
+        common = b if a == T.NullType() else a
+    elif isinstance(a, T.StringType) or isinstance(b, T.StringType):
+        raise TypeError(f"keys of type {a.simpleString()} and {b.simpleString()} can't be matched")
+    else:
+        nothing = F.lit(None)
+        common = left.sparkSession.range(1).select(F.coalesce(nothing.cast(a), nothing.cast(b)).alias("k")).schema[0].dataType
+    keys = [key if kind == common else key.cast(common) for key, kind in zip((left_key, right_key), kinds)]
+    if isinstance(common, (T.DoubleType, T.FloatType)):
+        keys = [key + F.lit(0.0).cast(common) for key in keys]  # no negative nought
+    return keys[0], keys[1]
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame | Stored,
@@ -82,6 +105,7 @@ def lookup_join(
     names = list(values)
     small = isinstance(right, Stored) and right.fits_broadcast
     right_df = right.df if isinstance(right, Stored) else right
+    left_key, right_key = alike(left, left_key, right_df, right_key)
     side = right_df.select(
         right_key.alias("_rkey"), *[c.alias(f"_v{i}") for i, c in enumerate(values.values())]
     ).filter(F.col("_rkey").isNotNull())

@@ -204,3 +204,40 @@ def test_join_key_parts_do_not_run_together(rows):
     df = rows("a string, b string", [("x", "1y"), ("x1", "y"), (None, "y"), ("x", None)])
     assert df.select(skew.join_key("a", "b").alias("k")).filter("k is not null").distinct().count() == 2
     assert df.select(skew.join_key("a", "b", null_safe=True).alias("k")).distinct().count() == 4
+
+
+@pytest.mark.parametrize("kinds", [("int", "double"), ("decimal(10,1)", "decimal(12,3)"), ("date", "timestamp"), ("bigint", "int")])
+@pytest.mark.parametrize("side", ["small", "large", "hot"])
+def test_keys_of_unlike_types_match_in_every_branch(spark, kinds, side):
+    values = ["2020-01-01", "2020-01-02", None] if kinds[0] == "date" else ["8", "0", None]
+    left = spark.createDataFrame([(v,) for v in values * 3], "k string").select(F.col("k").cast(kinds[0]).alias("k"))
+    right = spark.createDataFrame([(v,) for v in values], "k string").select(F.col("k").cast(kinds[1]).alias("r"), F.lit("x").alias("v"))
+    other = session.store(right) if side == "small" else right
+    hot = {"hot_rows": 2} if side == "hot" else {"hot": None}
+    got = skew.lookup_join(left, other, F.col("k"), F.col("r"), {"v": F.col("v")}, "found", **hot)
+    assert sorted((r.k is None, r.v, r.found) for r in got.collect()) == [(False, "x", True)] * 6 + [(True, None, False)] * 3
+
+
+def test_text_keys_are_not_compared_with_numbers(rows):
+    with pytest.raises(TypeError):
+        skew.lookup_join(rows("k string", [("1",)]), rows("r int", [(1,)]), F.col("k"), F.col("r"), {})
+
+
+@pytest.mark.parametrize("limit", [0, 10**9])
+def test_upsert_gives_the_same_rows_for_small_and_large_batches(rows, monkeypatch, limit):
+    monkeypatch.setattr(session, "BROADCAST_ROWS", limit)
+    table = rows("code int, title string, n int", [(1, "a", 1), (None, "t", 3), (4, "d", 4)])
+    batch = rows("_row bigint, code double, title string, n double", [(1, 1.0, "u1", 5.0), (2, None, "u2", 6.0), (3, 9.0, "u3", 7.0), (4, None, "u4", 8.0)])
+    got = merge.upsert(table, batch, "code", ["title"])
+    assert got.schema["n"].dataType.simpleString() == "int"
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(
+        map(repr, [(1, "u1", 1), (None, "t", 3), (4, "d", 4), (None, "u4", 6), (9, "u3", 7)])
+    )
+
+
+def test_equal_and_repeated_rows_of_one_register(rows):
+    ddl = "code string, name string, notes string"
+    first = rows(ddl, [("c1", "n", "a"), ("c1", "n", "b"), ("c2", "n", "x"), ("c2", "n", "x"), ("c3", "n", None), ("c3", "n", "y")])
+    later = rows("code string, name string, notes string, o string", [("c1", "m", "z", "b"), ("c1", "m", "w", "a"), ("c2", "m", None, "a")])
+    got = merge.precedence_merge([merge.Register(first, ": "), merge.Register(later, "; ", ["o"])], "code", ["name"])
+    assert {r.code: r.notes for r in got.collect()} == {"c1": "a: b; w; z", "c2": None, "c3": ": y"}

@@ -159,6 +159,8 @@ def test_rejects(built):
     assert found[("clients with several agents", "several agents")] == 1
     assert found[("lost references", "parisian_stock_auction.previous_owner")] == 1
     assert found[("lost references", "consignment_addressee.agent_code")] == 1
+    assert found[("people without a client code", "no client_code")] == 1
+    assert found[("agent lists without a consignment", "no consignment")] == 1
 
 
 def test_audit(tables):
@@ -174,9 +176,9 @@ def test_summary(tables):
     found = {(r["section"], r["label"]): r["n"] for r in summary(tables).collect()}
     assert found[("works", "works")] == 4
     assert found[("authors", "Primary")] == 3
-    assert found[("agents", "agents")] == 13
+    assert found[("agents", "agents")] == 14
     assert found[("agents", "firms")] == 3
-    assert found[("agents", "persons")] == 10
+    assert found[("agents", "persons")] == 11
     assert found[("agents", "clients")] == 6
     assert found[("events", "condemnation")] == 5
     assert found[("events", "total")] == sum(n for (s, l), n in found.items() if s == "events" and l != "total")

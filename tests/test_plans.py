@@ -62,3 +62,11 @@ def test_code_lists_are_bounded_and_broadcast(spark, rows):
     assert "BroadcastHashJoin" in text
     with pytest.raises(ValueError):
         lookup(spark, [("a", 1)] * 10_001, "code string, id int")
+
+
+def test_every_recoded_column_has_a_reference():
+    from ledgerloom.plans.fixed import CLIENT_REFERENCES
+    from ledgerloom.plans.schemas import REFERENCES
+
+    missing = [(t, c) for t, columns in CLIENT_REFERENCES.items() for c in columns if c not in REFERENCES.get(t, {})]
+    assert not missing
