@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.predicates import is_not_true, is_true
 from ledgerloom.functions.text import fold_name
-from ledgerloom.operators.skew import FIND, HOT_ROWS, join_key, lookup_join, some_keys
+from ledgerloom.operators.skew import FIND, HOT_ROWS, hot_keys_of, join_key, lookup_join, sent, some_keys
 from ledgerloom.session import Stored
 
 GATHERED = 1000  # values of a key that may travel as one array
@@ -54,8 +54,9 @@ def resolve_pair(
     def as_key(c: str) -> Column:
         return fold_name(c) if ci else F.col(c)
 
+    hot = hot_keys_of(df, names, {c: as_key(c) for c in roles}, hot_rows)
     for column, resolved in roles.items():
-        df = lookup_join(df, names, as_key(column), as_key(key), {resolved: F.col(value)}, hot_rows=hot_rows)
+        df = lookup_join(df, names, as_key(column), as_key(key), {resolved: F.col(value)}, hot=hot[column])
     return df
 
 
@@ -124,8 +125,9 @@ def all_counterparts(
     wide = some_keys(per_key.filter(F.col("_n") > GATHERED).select("_rkey"))
     narrow_pairs, narrow = pairs, df
     if wide is not None:
-        narrow_pairs = pairs.join(F.broadcast(wide), "_rkey", "left_anti")
-        narrow = df.join(F.broadcast(wide), F.col(left) == F.col("_rkey"), "left_anti")
+        wide = sent(wide)
+        narrow_pairs = pairs.join(wide, "_rkey", "left_anti")
+        narrow = df.join(wide, F.col(left) == F.col("_rkey"), "left_anti")
     gathered = narrow_pairs.groupBy("_rkey").agg(F.collect_set("_value").alias("_values"))
     joined = lookup_join(
         narrow, gathered, join_key(left), F.col("_rkey"), {"_values": F.col("_values")}, hot_rows=hot_rows
@@ -135,8 +137,8 @@ def all_counterparts(
     if wide is None:
         return out
     buckets = F.explode(F.sequence(F.lit(0), F.lit(VALUE_BUCKETS - 1))).alias("_bucket")
-    many = df.join(F.broadcast(wide), F.col(left) == F.col("_rkey"), "left_semi").select(*df.columns, buckets)
-    values = pairs.join(F.broadcast(wide), "_rkey", "left_semi").filter(F.col("_value").isNotNull())
+    many = df.join(wide, F.col(left) == F.col("_rkey"), "left_semi").select(*df.columns, buckets)
+    values = pairs.join(wide, "_rkey", "left_semi").filter(F.col("_value").isNotNull())
     values = values.withColumn("_value_bucket", F.pmod(F.xxhash64("_value"), F.lit(VALUE_BUCKETS)).cast("int"))
     on = (F.col(left) == F.col("_rkey")) & (F.col("_bucket") == F.col("_value_bucket"))
     return out.unionByName(many.join(values, on).select(*df.columns, F.col("_value").alias(name)))

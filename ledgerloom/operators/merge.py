@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.operators.joins import missing_from, splice
 from ledgerloom.operators.shape import conform
-from ledgerloom.operators.skew import HOT_ROWS, join_key, join_text, lookup_join, present_keys, some_keys, union_all
+from ledgerloom.operators.skew import HOT_BYTES, HOT_ROWS, join_key, join_text, lookup_join, present_keys, some_keys, union_all
 from ledgerloom.session import Stored, store, write_once
 
 
@@ -209,6 +209,7 @@ def precedence_merge(
     heads = tagged.groupBy(key).agg(
         F.min(F.struct("_ord", F.struct(*columns, note).alias("v"))).alias("_head"),
         F.sum("_m").alias("_n"),
+        F.sum(F.col("_m") * F.coalesce(F.octet_length(F.concat("_label", note)), F.lit(0))).alias("_bytes"),
         F.max("_ord").alias("_last_ord"),
         F.max(F.when(empty, F.col("_ord"))).alias("_empty_ord"),
     )
@@ -218,12 +219,13 @@ def precedence_merge(
         F.col(f"_head.v.`{note}`").alias("_first_note"),
         F.col("_head._ord").alias("_first_ord"),
         "_n",
+        "_bytes",
         "_last_ord",
         "_empty_ord",
     )
     written = store(heads, "merged")
     several = Stored(written.df.filter("_n > 1"), written.rows, written.bytes)
-    hot = some_keys(written.df.filter(F.col("_n") >= hot_rows).select(F.col(key).alias("_hot")))
+    hot = some_keys(written.df.filter((F.col("_n") >= hot_rows) | (F.col("_bytes") >= HOT_BYTES)).select(F.col(key).alias("_hot")))
     bounds = {"_f": F.col("_first_ord"), "_e": F.col("_empty_ord")}
     notes = lookup_join(
         tagged, several, join_key(key), join_key(key), bounds, "_several", hot=hot

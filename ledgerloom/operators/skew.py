@@ -1,8 +1,8 @@
 """Left joins and grouped text that stay balanced when a key is very frequent.
 
-A key counts as *hot* from `hot_rows` rows on, so a table of N rows has at most
-N / hot_rows hot keys: one million hot keys for 10^12 rows, which is what bounds
-every broadcast of a hot-key list here.
+A key counts as *hot* from `hot_rows` rows on (for texts also from HOT_BYTES
+bytes on), so a table of N rows has at most N / hot_rows hot keys.  A list of hot
+keys is broadcast only if its size was measured to allow that.
 """
 
 from __future__ import annotations
@@ -13,10 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.session import Stored, write_once
+from ledgerloom.session import Stored, measured, write_once
 
 HOT_ROWS = 1_000_000
 LISTED_KEYS = 10_000  # up to here a list of hot keys is kept in the plan, beyond it is written
+SALTS = 256  # places over which the rows of a hot key are spread
+HOT_BYTES = 64 * 1024 * 1024
 FIND = "find"
 
 
@@ -38,14 +40,42 @@ def join_key(*columns: Column | str, null_safe: bool = False) -> Column:
     return F.concat(*parts)
 
 
-def hot_keys(df: DataFrame, key: Column, hot_rows: int = HOT_ROWS) -> DataFrame | None:
+def hot_keys(
+    df: DataFrame, key: Column, hot_rows: int = HOT_ROWS, text: Column | None = None, hot_bytes: int = HOT_BYTES
+) -> DataFrame | None:
     """Keys (column `_hot`, possibly NULL) carried by at least `hot_rows` rows, or None where there are none.
 
+    With `text`, also keys whose texts have at least `hot_bytes` bytes together.
+
     Runs one counting pass over the key column.  Counts are combined on the map
     side, so a hot key costs one record per task in the shuffle.
     """
-    counts = df.select(key.alias("_hot")).groupBy("_hot").count()
-    return some_keys(counts.filter(F.col("count") >= hot_rows).select("_hot"))
+    size = F.lit(0) if text is None else F.coalesce(F.octet_length(text.cast("string")), F.lit(0))
+    counts = df.select(key.alias("_hot"), size.cast("long").alias("_size")).groupBy("_hot")
+    counts = counts.agg(F.count(F.lit(1)).alias("_rows"), F.sum("_size").alias("_bytes"))
+    return some_keys(counts.filter((F.col("_rows") >= hot_rows) | (F.col("_bytes") >= hot_bytes)).select("_hot"))
+
+
+def hot_keys_of(
+    df: DataFrame, side: DataFrame | Stored, keys: dict[str, Column], hot_rows: int = HOT_ROWS
+) -> dict[str, DataFrame | None]:
+    """Hot keys of several columns by one pass over `df`; none are looked for where the other side is small."""
+    if isinstance(side, Stored) and side.fits_broadcast:
+        return dict.fromkeys(keys)
+    if len({str(df.select(k).schema[0].dataType) for k in keys.values()}) > 1:
+        keys = {n: k.cast("string") for n, k in keys.items()}
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("column"), k.alias("_hot")) for n, k in keys.items()])).alias("_key")
+    counts = df.select(each).groupBy("_key.column", "_key._hot").count()
+    found = some_keys(counts.filter(F.col("count") >= hot_rows).select("column", "_hot"))
+    if found is None:
+        return dict.fromkeys(keys)
+    have = {r["column"] for r in found.select("column").distinct().collect()}
+    return {n: found.filter(F.col("column") == n).select("_hot") if n in have else None for n in keys}
+
+
+def sent(keys: DataFrame) -> DataFrame:
+    """A list of keys with a hint to broadcast it, if it was measured to be small enough."""
+    return F.broadcast(keys) if measured(keys).fits_broadcast else keys
 
 
 def some_keys(keys: DataFrame) -> DataFrame | None:
@@ -94,9 +124,9 @@ def lookup_join(
 
     A `Stored` side small enough for a broadcast is joined in place, without
     moving `left`.  Otherwise both are shuffled by key, a plain join as long as
-    `left` has no hot key.  Rows of hot keys get their values from a broadcast of
-    bounded size instead, and like rows with a NULL key they travel under a
-    spread-out key, since they need no partner.
+    `left` has no hot key.  Rows of hot keys are spread over SALTS places, where
+    the few rows of such keys on the other side are repeated; rows with a NULL key
+    travel under a spread-out key, since they need no partner.
 
     `hot` saves the counting pass where the hot keys are known from elsewhere:
     None says there are none, as for a primary key of `left`.  `matched` names a
@@ -118,24 +148,23 @@ def lookup_join(
         out = [F.col(f"_v{i}").alias(n) for i, n in enumerate(names)]
         found = F.col("_rkey").isNotNull()
     else:
-        hot_side = side.join(F.broadcast(hot), F.col("_rkey") == F.col("_hot"), "left_semi")
-        hot_side = hot_side.select(
-            F.col("_rkey").alias("_hkey"), *[F.col(f"_v{i}").alias(f"_h{i}") for i in range(len(names))]
-        )
-        hot_table = hot.join(F.broadcast(hot_side), F.col("_hot") == F.col("_hkey"), "left")
+        # Rows of a hot key go to SALTS places, each of which gets that key's values; no values are broadcast.
+        hot = sent(hot)
         keyed = left.withColumn("_lkey", left_key)
-        flagged = keyed.join(F.broadcast(hot_table), F.col("_lkey") == F.col("_hot"), "left")
-        is_hot = F.col("_hot").isNotNull()
+        flagged = keyed.join(hot, F.col("_lkey") == F.col("_hot"), "left")
         spread = F.xxhash64(*[F.col(f"`{c}`") for c in own])
-        route = F.when(is_hot | F.col("_lkey").isNull(), F.concat(F.lit("s"), spread.cast("string"))).otherwise(
-            F.concat(F.lit("k"), F.col("_lkey").cast("string"))
+        salted = lambda salt, key: F.concat(F.lit("h"), salt.cast("string"), F.lit(":"), key.cast("string"))
+        route = (
+            F.when(F.col("_lkey").isNull(), F.concat(F.lit("s"), spread.cast("string")))
+            .when(F.col("_hot").isNotNull(), salted(F.pmod(spread, F.lit(SALTS)), F.col("_lkey")))
+            .otherwise(F.concat(F.lit("k"), F.col("_lkey").cast("string")))
         )
-        cold = side.withColumn("_rroute", F.concat(F.lit("k"), F.col("_rkey").cast("string")))
-        joined = flagged.withColumn("_route", route).join(cold, F.col("_route") == F.col("_rroute"), "left")
-        out = [
-            F.when(is_hot, F.col(f"_h{i}")).otherwise(F.col(f"_v{i}")).alias(n) for i, n in enumerate(names)
-        ]
-        found = F.col("_hkey").isNotNull() | F.col("_rkey").isNotNull()
+        every = F.transform(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda s: salted(s, F.col("_rkey")))
+        places = F.when(F.col("_hot").isNotNull(), every).otherwise(F.array(F.concat(F.lit("k"), F.col("_rkey").cast("string"))))
+        dealt = side.join(hot, F.col("_rkey") == F.col("_hot"), "left").withColumn("_rroute", F.explode(places)).drop("_hot")
+        joined = flagged.withColumn("_route", route).join(dealt, F.col("_route") == F.col("_rroute"), "left")
+        out = [F.col(f"_v{i}").alias(n) for i, n in enumerate(names)]
+        found = F.col("_rkey").isNotNull()
 
     keep = [F.col(f"`{c}`") for c in own if c not in names]
     flag = [found.alias(matched)] if matched else []
@@ -177,7 +206,7 @@ def join_text(
     A key whose pieces are all NULL keeps a row with NULL.
     """
     if isinstance(hot, str):
-        hot = hot_keys(df, F.col(key), hot_rows)
+        hot = hot_keys(df, F.col(key), hot_rows, text)
     ords = [f"_o{i}" for i in range(len(order))]
     pieces = df.select(
         F.col(key), text.cast("string").alias("_piece"), *[c.alias(o) for c, o in zip(order, ords)]
@@ -191,9 +220,10 @@ def join_text(
     if hot is None:
         return pieces.groupBy(key).agg(in_order(*ords).alias(name))
     on_hot = F.col(key).eqNullSafe(F.col("_hot"))
-    cold = pieces.join(F.broadcast(hot), on_hot, "left_anti").groupBy(key).agg(in_order(*ords).alias(name))
+    hot = sent(hot)
+    cold = pieces.join(hot, on_hot, "left_anti").groupBy(key).agg(in_order(*ords).alias(name))
     stretches = (
-        pieces.join(F.broadcast(hot), on_hot, "left_semi")
+        pieces.join(hot, on_hot, "left_semi")
         .orderBy(key, *ords)
         .withColumn("_part", F.spark_partition_id())
         .groupBy(key, "_part")
