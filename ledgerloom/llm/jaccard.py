@@ -9,7 +9,9 @@ documents: each distinct set is one node, named by its smallest key.
    such shingle.  Long lists are cut into parts that different tasks read.
 2. Answers of one set.  In each list the smallest key is compared with every other
    set, exactly, on the whole texts.  That gives most links at once: of a group of
-   copies every member is compared with one, not with all.
+   copies every member is compared with one, not with all.  Where components are
+   left apart, the set most like the smallest one is compared with the others, and
+   then the one of those outside.
 3. Answers from a similar set.  Two other sets x and y of a list whose overlaps
    with its smallest set A are known overlap in at most min(xA, yA) +
    min(|x| - xA, |y| - yA) and at least xA + yA - |A| shingles.  Sets that are
@@ -37,8 +39,9 @@ from ledgerloom.llm.common import SLICE_BYTES, pieces
 from ledgerloom.llm.components import components
 from ledgerloom.session import Stored, store, write_once
 
-CELLS = 1 << 20
+CELLS = 1 << 22
 _STRIPES = 64
+_CELL_SHIFT = np.uint64(64 - 22)
 #: Stands for a null key; larger than any other.
 NO_KEY = (1 << 63) - 1
 #: Rows that a task gets when lists are dealt out, and postings in one part of a list.
@@ -47,6 +50,8 @@ PART = 4_000
 #: Sets compared with one set in one go; postings in one block.
 FAN = 500
 BLOCK = 64
+#: Pairs that are looked at in one go.
+PAIRS = 1 << 19
 
 
 def required(a, b):
@@ -67,7 +72,7 @@ def rarity(docs: DataFrame) -> np.ndarray:
     """How many sets have a shingle in each of CELLS cells, over all documents.
 
     Each task sums its own documents first; sums are then added in two steps, so that no task gets more than a few
-    hundred rows of a stripe.  The result has a fixed size (4 MB).
+    hundred rows of a stripe.  The result has a fixed size (16 MB).
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,8 +80,9 @@ def rarity(docs: DataFrame) -> np.ndarray:
         for batch in pieces(batches):
             names = shingles.sets(_texts(batch))
             salt ^= zlib.crc32(str(batch.column(0)[0]).encode())
-            cells += np.bincount((np.concatenate(names) >> np.uint64(44)).astype(np.int64), minlength=CELLS)
-        stripes = [x.astype(np.uint32).tobytes() for x in np.split(cells, _STRIPES)]
+            cells += np.bincount((np.concatenate(names) >> _CELL_SHIFT).astype(np.int64), minlength=CELLS)
+        small = np.uint16 if cells.max(initial=0) < 1 << 16 else np.uint32
+        stripes = [x.astype(small).tobytes() for x in np.split(cells, _STRIPES)]
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(_STRIPES), pa.int32()), pa.array([salt % 64] * _STRIPES, pa.int32()), pa.array(stripes, pa.binary())],
             names=["stripe", "salt", "counts"],
@@ -86,7 +92,7 @@ def rarity(docs: DataFrame) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for stripe, salt, counts in zip(*(c.to_pylist() for c in batch.columns)):
-                own = np.frombuffer(counts, np.uint32)
+                own = np.frombuffer(counts, np.uint16 if len(counts) == 2 * CELLS // _STRIPES else np.uint32)
                 sums[stripe] = np.minimum(own.astype(np.uint64) + sums.get(stripe, 0), 0xFFFFFFFF).astype(np.uint32)
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(sums), pa.int32()), pa.array([0] * len(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())],
@@ -113,7 +119,7 @@ def documents(docs: DataFrame, cells: np.ndarray) -> DataFrame:
             names, prefixes = [], []
             for own in found:
                 names.append((shingles.mixed(own).sum(), shingles.mixed(own ^ np.uint64(0x5555)).sum()))
-                order = np.lexsort((own, counts[(own >> np.uint64(44)).astype(np.int64)]))
+                order = np.lexsort((own, counts[(own >> _CELL_SHIFT).astype(np.int64)]))
                 n = len(own)
                 prefixes.append(own[order[: n - -(-3 * n // 4) + 1]].view(np.int64) if n else own.view(np.int64))
             both = np.array(names, np.uint64).view(np.int64)
@@ -183,7 +189,7 @@ def shared_lists(nodes: DataFrame, cells: np.ndarray, total: int) -> DataFrame:
 def _parts(name: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Into how many parts the list of each shingle is cut: one for PART sets that its cell has beyond the usual."""
     usual = int(np.median(counts))
-    often = np.maximum(counts[(name.view(np.uint64) >> np.uint64(44)).astype(np.int64)].astype(np.int64) - 2 * usual, 0)
+    often = np.maximum(counts[(name.view(np.uint64) >> _CELL_SHIFT).astype(np.int64)].astype(np.int64) - 2 * usual, 0)
     return 1 + often // PART
 
 
@@ -265,20 +271,48 @@ def first_pairs(lists: DataFrame) -> DataFrame:
     return own.union(across).distinct()
 
 
-def rest_pairs(lists: DataFrame, labels: Stored, known: DataFrame) -> DataFrame:
-    """(a, b, sure): pairs of lists whose sets are not yet in one component, as far as sizes, positions and known overlaps allow a link."""
-    lists = _joined(lists, Stored(labels.df.withColumnRenamed("label", "part_of"), labels.rows, labels.bytes), "node", "left")
-    lists = lists.withColumn("part_of", F.coalesce("part_of", "node"))
-    mixed = lists.groupBy("shingle").agg(F.min("part_of").alias("low"), F.max("part_of").alias("high"), F.count(F.lit(1)).alias("c"))
-    mixed = store(mixed.where("low < high").select("shingle", F.ceil(F.col("c") / PART).cast("int").alias("blocks")), "mixed-lists")
-    lists = _joined(lists, mixed, "shingle")
-    top = lists.groupBy("shingle").agg(F.min("head").alias("top"))
-    lists = lists.join(top, "shingle")
-    # The overlap with the list's smallest set, which every set of an undivided list has been compared with.
+def open_lists(lists: DataFrame, labels: Stored, known: DataFrame) -> DataFrame:
+    """Lists whose sets are in several components, with the component and the overlap with the list's smallest set.
+
+    Every set of an undivided list has been compared with that one; where a list has parts, some overlaps are missing.
+    """
+    named = Stored(labels.df.withColumnRenamed("label", "part_of"), labels.rows, labels.bytes)
+    lists = _joined(lists, named, "node", "left").withColumn("part_of", F.coalesce("part_of", "node"))
+    mixed = lists.groupBy("shingle").agg(
+        F.min("part_of").alias("low"), F.max("part_of").alias("high"), F.count(F.lit(1)).alias("c"), F.min("head").alias("top")
+    )
+    mixed = mixed.where("low < high").select("shingle", "top", F.ceil(F.col("c") / PART).cast("int").alias("blocks"))
+    lists = _joined(lists, store(mixed, "mixed-lists"), "shingle")
     overlaps = known.select(F.col("a").alias("top"), F.col("b").alias("node"), F.col("overlap").alias("with_top"), F.col("na").alias("n_top"))
-    lists = lists.join(overlaps, ["top", "node"], "left")
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    lists = lists.withColumn("block", block)
+    return lists.join(overlaps, ["top", "node"], "left")
+
+
+def centre_pairs(lists: DataFrame, known: DataFrame, outside: bool) -> DataFrame:
+    """(a, b): the set of each list that is most like its smallest one with the others that aren't in its component.
+
+    Copies that were edited on their own are less like each other than like what they were copied from, and that is
+    most like any one of them.  With `outside`, the set is taken among those not yet in the smallest one's component.
+    """
+    top_part = lists.where("node = top").select("shingle", F.col("part_of").alias("top_part")).distinct()
+    ranked = lists.join(top_part, "shingle", "left").where(F.lit(not outside) | F.coalesce(F.col("part_of") != F.col("top_part"), F.lit(True)))
+    own = F.struct(
+        F.when(F.col("node") == F.col("top"), -1).otherwise(F.coalesce("with_top", F.lit(-1))).alias("like"), (-F.col("node")).alias("minus"), "n", "part_of"
+    )
+    centre = ranked.groupBy("shingle").agg(F.max(own).alias("c"))
+    pairs = lists.join(centre, "shingle").select((-F.col("c.minus")).alias("a"), F.col("node").alias("b"), "part_of", F.col("c.part_of").alias("own_part"), "n", F.col("c.n").alias("n_own"))
+    fit = (F.col("part_of") != F.col("own_part")) & (4 * F.least("n", "n_own") >= 3 * F.greatest("n", "n_own"))
+    return unknown(pairs.where(fit).select("a", "b").distinct(), known)
+
+
+def unknown(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs that haven't been compared, in either order."""
+    done = known.select(F.least("a", "b").alias("_low"), F.greatest("a", "b").alias("_high"))
+    return pairs.join(done, (F.least("a", "b") == F.col("_low")) & (F.greatest("a", "b") == F.col("_high")), "left_anti")
+
+
+def rest_pairs(lists: DataFrame) -> DataFrame:
+    """(a, b, sure): pairs of open lists whose sets are not yet in one component, as far as sizes, positions and overlaps allow a link."""
+    lists = lists.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     pairs = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(F.col("block"), o).alias("low"), F.greatest(F.col("block"), o).alias("high"))))
     rows = lists.select("shingle", pairs.alias("x"), "block", "node", "n", "pos", "part_of", F.coalesce("with_top", F.lit(-1)).alias("with_top"), F.coalesce("n_top", F.lit(-1)).alias("n_top"))
     rows = rows.select("shingle", "x.low", "x.high", "block", "node", "n", "pos", "part_of", "with_top", "n_top")
@@ -293,42 +327,85 @@ def _pair_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now = [np.asarray(c) for c in batch.columns]
         if left is not None:
             now = [np.concatenate(x) for x in zip(left, now)]
-        key = np.stack(now[:3])
-        cuts = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1 if len(now[0]) else np.zeros(0, int)
-        edges = [0, *cuts.tolist()]
-        for a, b in zip(edges, edges[1:]):
-            yield from _pairs_of([x[a:b] for x in now])
-        left = [x[edges[-1] :] for x in now]
-    if left is not None and len(left[0]):
-        yield from _pairs_of(left)
-
-
-def _pairs_of(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    _, low, high, block, node, n, pos, part_of, with_top, n_top = rows
-    cross, edges = low[0] != high[0], np.arange(0, len(node), BLOCK)
+        edges = _edges(now)
+        last = int(edges[-1]) if len(edges) else 0
+        yield from _pairs_in([x[:last] for x in now])
+        left = [x[last:] for x in now]
+    if left is not None:
+        yield from _pairs_in(left)
+
+
+def _edges(rows: list[np.ndarray]) -> np.ndarray:
+    """Where each list begins."""
+    if not len(rows[0]):
+        return np.zeros(0, np.int64)
+    key = np.stack(rows[:3])
+    return np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(axis=0)]))
+
+
+def _pairs_in(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Pairs of whole lists: of short ones all at once, of longer ones by blocks."""
+    edges = _edges(rows)
+    sizes = np.diff(edges, append=len(rows[0]))
+    short = sizes <= BLOCK
+    # A row meets those after it in its list; so many rows at a time that their pairs are about PAIRS.
+    at = np.flatnonzero(np.repeat(short, sizes))
+    after = (np.repeat(edges + sizes, sizes) - 1 - np.arange(len(rows[0])))[at]
+    cuts = np.searchsorted(np.cumsum(after), np.arange(PAIRS, int(after.sum()) + PAIRS, PAIRS), side="right")
+    begin = 0
+    for end in [*cuts.tolist(), len(at)]:
+        own, n = at[begin:end], after[begin:end]
+        x = np.repeat(own, n)
+        y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n)
+        yield from _fitting(rows, x, y)
+        begin = max(begin, end)
+    for k in np.flatnonzero(~short).tolist():
+        yield from _by_blocks(rows, int(edges[k]), int(edges[k] + sizes[k]))
+
+
+def _by_blocks(rows: list[np.ndarray], start: int, stop: int) -> Iterator[pa.RecordBatch]:
+    n = rows[5]
+    edges = np.arange(start, stop, BLOCK)
     # Of a block only its bounds count at first: sizes ascend along the list.
-    small, large = n[edges], n[np.minimum(edges + BLOCK, len(n)) - 1]
+    small, large = n[edges], n[np.minimum(edges + BLOCK, stop) - 1]
+    xs, ys, held = [], [], 0
     for i in range(len(edges)):
         j = np.arange(i, len(edges))
-        reach = 3 * small[j] <= 4 * large[i]
-        # Shingles before and from this one that could be shared at most, against what such sizes need at least.
-        most = np.minimum(large[i], large[j])
-        reach &= most >= required(small[i], small[j])
-        one = slice(edges[i], edges[i] + BLOCK)
+        reach = (3 * small[j] <= 4 * large[i]) & (np.minimum(large[i], large[j]) >= required(small[i], small[j]))
+        one = np.arange(edges[i], min(edges[i] + BLOCK, stop))
         for k in edges[j[reach]].tolist():
-            two = slice(k, k + BLOCK)
-            x, y = np.meshgrid(np.arange(one.start, min(one.stop, len(n))), np.arange(two.start, min(two.stop, len(n))), indexing="ij")
-            ok = (x < y) & (part_of[x] != part_of[y]) & ((block[x] != block[y]) if cross else True)
-            x, y = x[ok], y[ok]
-            need = required(n[x], n[y])
-            ok = np.minimum(pos[x], pos[y]) + np.minimum(n[x] - pos[x], n[y] - pos[y]) >= need
-            both = (with_top[x] >= 0) & (with_top[y] >= 0)
-            ok &= ~both | (np.minimum(with_top[x], with_top[y]) + np.minimum(n[x] - with_top[x], n[y] - with_top[y]) >= need)
-            sure = both & (with_top[x] + with_top[y] - n_top[x] >= need)
-            x, y, sure = x[ok], y[ok], sure[ok]
-            if len(x):
-                a, b = np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(sure)], names=["a", "b", "sure"])
+            x, y = np.meshgrid(one, np.arange(k, min(k + BLOCK, stop)), indexing="ij")
+            ahead = x < y
+            xs.append(x[ahead])
+            ys.append(y[ahead])
+            held += len(xs[-1])
+            if held >= PAIRS:
+                yield from _fitting(rows, np.concatenate(xs), np.concatenate(ys))
+                xs, ys, held = [], [], 0
+    if xs:
+        yield from _fitting(rows, np.concatenate(xs), np.concatenate(ys))
+
+
+def _fitting(rows: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Those of the pairs of rows that may link, each once."""
+    _, low, high, block, node, n, pos, part_of, with_top, n_top = rows
+    ok = (part_of[x] != part_of[y]) & ((low[x] == high[x]) | (block[x] != block[y]))
+    ok &= 4 * np.minimum(n[x], n[y]) >= 3 * np.maximum(n[x], n[y])
+    x, y = x[ok], y[ok]
+    need = required(n[x], n[y])
+    # Shingles up to these two places and from them on, at most.
+    ok = np.minimum(pos[x], pos[y]) + np.minimum(n[x] - pos[x], n[y] - pos[y]) >= need
+    both = (with_top[x] >= 0) & (with_top[y] >= 0)
+    ok &= ~both | (np.minimum(with_top[x], with_top[y]) + np.minimum(n[x] - with_top[x], n[y] - with_top[y]) >= need)
+    sure = both & (with_top[x] + with_top[y] - n_top[x] >= need)
+    x, y, sure = x[ok], y[ok], sure[ok]
+    if not len(x):
+        return
+    a, b = np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
+    order = np.lexsort((~sure, b, a))
+    a, b, sure = a[order], b[order], sure[order]
+    new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+    yield pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new]), pa.array(sure[new])], names=["a", "b", "sure"])
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -351,12 +428,21 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     lists = write_once(shared_lists(nodes, cells, total), "jaccard-lists")
     known = write_once(compared(source, first_pairs(lists)), "jaccard-known")
     labels = store(components(linked(known)), "jaccard-labels")
-    more = write_once(rest_pairs(lists, labels, known).groupBy("a", "b").agg(F.max("sure").alias("sure")), "jaccard-rest")
-    unsure = more.where("NOT sure").join(known.select("a", "b"), ["a", "b"], "left_anti").select("a", "b")
-    links = linked(known).union(more.where("sure").select("a", "b"))
-    if unsure.limit(1).count():
-        links = links.union(linked(compared(source, unsure)))
+    every = known
+    for outside in (False, True):
+        still = write_once(open_lists(lists, labels, known), "jaccard-open")
+        centres = write_once(centre_pairs(still, every, outside), "jaccard-centres")
+        if not centres.limit(1).count():
+            break
+        every = write_once(every.union(compared(source, centres)), "jaccard-known")
+        labels = store(components(linked(every)), "jaccard-labels")
+    more = rest_pairs(open_lists(lists, labels, known)).groupBy("a", "b").agg(F.max("sure").alias("sure"))
+    more = write_once(unknown(more, every), "jaccard-rest")
     if more.limit(1).count():
+        links = linked(every).union(more.where("sure").select("a", "b"))
+        unsure = more.where("NOT sure").select("a", "b")
+        if unsure.limit(1).count():
+            links = links.union(linked(compared(source, unsure)))
         labels = store(components(links), "jaccard-labels")
     final = classes.join(labels.df, "node", "left").select("a", "b", F.coalesce("label", "node").alias("component"))
     final = found.select("key", "a", "b", "n").join(final, ["a", "b"], "left")
