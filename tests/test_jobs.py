@@ -105,6 +105,7 @@ def test_agents(tables):
         ("id000017", "Veuve Roy", "F", False, "widow Permission simple notes: perm note"),
         ("id000018", "Roy et Cie", "B", True, None),
         ("id000019", "Nouveau", "M", None, None),
+        ("id000020", "unseen", None, None, None),
     ]
 
 
@@ -200,11 +201,11 @@ def test_older_rules_are_available(spark, tables, rows):
 
 def test_publish_and_read_back(spark, tables, built, tmp_path):
     some = {n: tables[n] for n in ("agent", "condemnation", "author_type", "place")}
-    assert publish(some, str(tmp_path)) == {"agent": 13, "condemnation": 5, "author_type": 4, "place": 4}
+    assert publish(some, str(tmp_path)) == {"agent": 14, "condemnation": 5, "author_type": 4, "place": 4}
     assert publish({"place": tables["place"].limit(1)}, str(tmp_path)) == {"place": 1}  # refreshed, not added to
     append_to(tables["place"], f"{tmp_path}/place")
     back = read_published(spark, str(tmp_path), ["agent", "place"])
-    assert back["agent"].count() == 13 and back["place"].count() == 5
+    assert back["agent"].count() == 14 and back["place"].count() == 5
     append_coded_to(str(tmp_path), "agent", spark.createDataFrame([("Metz", "x"), ("Brest", "y")], "name string, notes string"), ["name"])
     again = read_published(spark, str(tmp_path), ["agent"])["agent"]
     assert get(again, "agent_code", "name")[-2:] == [("id000020", "Brest"), ("id000021", "Metz")]
