@@ -208,7 +208,7 @@ def test_publish_and_read_back(spark, tables, built, tmp_path):
     assert back["agent"].count() == 14 and back["place"].count() == 5
     append_coded_to(str(tmp_path), "agent", spark.createDataFrame([("Metz", "x"), ("Brest", "y")], "name string, notes string"), ["name"])
     again = read_published(spark, str(tmp_path), ["agent"])["agent"]
-    assert get(again, "agent_code", "name")[-2:] == [("id000020", "Brest"), ("id000021", "Metz")]
+    assert get(again, "agent_code", "name")[-2:] == [("id000021", "Brest"), ("id000022", "Metz")]
 
 
 def test_append_with_codes_and_date_parts(tables, rows):
