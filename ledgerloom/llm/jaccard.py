@@ -393,8 +393,8 @@ def _fitting(rows: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> Iterator[p
     ok &= 4 * np.minimum(n[x], n[y]) >= 3 * np.maximum(n[x], n[y])
     x, y = x[ok], y[ok]
     need = required(n[x], n[y])
-    # Shingles up to these two places and from them on, at most.
-    ok = np.minimum(pos[x], pos[y]) + np.minimum(n[x] - pos[x], n[y] - pos[y]) >= need
+    # Of a linked pair some list holds the first shingle that they share: from there on lies all that they share.
+    ok = np.minimum(n[x] - pos[x], n[y] - pos[y]) >= need
     both = (with_top[x] >= 0) & (with_top[y] >= 0)
     ok &= ~both | (np.minimum(with_top[x], with_top[y]) + np.minimum(n[x] - with_top[x], n[y] - with_top[y]) >= need)
     sure = both & (with_top[x] + with_top[y] - n_top[x] >= need)
