@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,13 +39,40 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in the order of the mix."""
+    """All documents in the order of the mix, which is that of the files when they are written."""
     return mixing.mix(docs.select(*COLUMNS)).orderBy("mix_position").select(*COLUMNS)
 
 
+def _turn(name: str) -> tuple[int, int, str]:
+    """What the files of one write sort by: their task, and their number within it (five and three digits or more)."""
+    found = re.match(r"part-([0-9]+)(?:.*-c([0-9]+))?", name)
+    return (int(found[1]), int(found[2] or 0), name) if found else (0, 0, name)
+
+
+def in_written_order(docs: DataFrame) -> DataFrame:
+    """`docs`, a scan of one write, with `mix_position`: the place of each row, from 0, over all files in their order.
+
+    Reading gives no order, as files and their parts are packed into tasks by size.  What was never written is first.
+    """
+    try:
+        docs.select("_metadata.row_index")
+    except AnalysisException:
+        docs = write_once(docs, "in-order")
+    place = docs.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_nth"))
+    # One row for each file; the driver lists the files anyway.
+    counts = place.groupBy("_file").count().collect()
+    before, rows = 0, []
+    for r in sorted(counts, key=lambda r: _turn(r["_file"].rsplit("/", 1)[-1])):
+        rows.append((r["_file"], before))
+        before += r["count"]
+    starts = docs.sparkSession.createDataFrame(rows, "_file string, _before long")
+    placed = place.join(F.broadcast(starts), "_file").withColumn("mix_position", F.col("_before") + F.col("_nth"))
+    return placed.drop("_file", "_nth", "_before")
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document that is left, and the text that they decode to."""
-    return bpe.round_trip(docs, tokenizer_json())
+    """Token ids of every document that is left, the text that they decode to, and its place in the mix, `mix_position`."""
+    return bpe.round_trip(in_written_order(docs), tokenizer_json(), keep=("mix_position",))
 
 
 STAGES = [

@@ -284,13 +284,15 @@ def rank_array(tokenizer_json: str) -> RankArray:
     return _TABLES[tokenizer_json]
 
 
-def round_trip(docs: DataFrame, tokenizer_json: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def round_trip(
+    docs: DataFrame, tokenizer_json: str, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Encode every whole text and decode its ids again.
 
     Returns `key`, `ids` (array of int), `n_tokens` (long) and `decoded` (string), one row per row of `docs`.  A null
     text counts as empty: no ids, decoded to the empty text.  Repeated rows and null keys stay as they are; other
-    columns are not read, so their names don't matter; an empty table gives an empty one.  No shuffle: the rows are
-    coded where they are read.
+    columns are not read, so their names don't matter, but for those in `keep`, which follow unchanged; an empty table
+    gives an empty one.  No shuffle: the rows are coded where they are read.
 
     `tokenizer_json` is the content of a byte-level BPE file of the tokenizers library (a few MB, whatever the data),
     which the driver reads and broadcasts.
@@ -302,6 +304,7 @@ def round_trip(docs: DataFrame, tokenizer_json: str, key: str = "doc_id", text:
             T.StructField("ids", T.ArrayType(T.IntegerType())),
             T.StructField("n_tokens", T.LongType()),
             T.StructField("decoded", T.StringType()),
+            *(docs.schema[c] for c in keep),
         ]
     )
 
@@ -319,8 +322,9 @@ def round_trip(docs: DataFrame, tokenizer_json: str, key: str = "doc_id", text:
                     pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32))),
                     pa.array(sizes),
                     pa.array(texts, pa.string()),
+                    *batch.columns[2:],
                 ],
                 names=schema.names,
             )
 
-    return docs.select(key, text).mapInArrow(code, schema)
+    return docs.select(key, text, *keep).mapInArrow(code, schema)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as spark_entry
 import corpus_pipeline
 from ledgerloom.llm import jaccard, linededup, mixing, queries, topk, warc
+from ledgerloom.session import write_once
 from oracle import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -147,3 +148,26 @@ def test_pipeline_stages(spark):
     assert [r.doc_id for r in mixed.collect()] == order
     last = {r.doc_id: r.decoded for r in corpus_pipeline.run(spark, FOLDER).collect()}
     assert last == {r.doc_id: r.text for r in mixed.collect()}
+
+
+def test_the_order_of_the_mix_outlasts_its_files(spark):
+    """Many files of unlike size, read in an order of Spark's own."""
+    settings = {"spark.sql.shuffle.partitions": "23", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+        expected = [r.doc_id for r in mixing.mix(docs).orderBy("mix_position").collect()]
+        written = write_once(corpus_pipeline.mix_sources(spark, docs, FOLDER), "mixed")
+        assert len(written.inputFiles()) > 10
+        got = corpus_pipeline.encode(spark, written, FOLDER).collect()
+        assert [r.mix_position for r in sorted(got, key=lambda r: r.mix_position)] == list(range(len(expected)))
+        assert [r.doc_id for r in sorted(got, key=lambda r: r.mix_position)] == expected
+        last = corpus_pipeline.run(spark, FOLDER).collect()
+        assert sorted(r.mix_position for r in last) == list(range(len(last)))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    names = [f"part-{n:05d}-u-c{c:03d}.snappy.parquet" for n in (9, 99_999, 100_000) for c in (0, 1, 1000)]
+    assert sorted(sorted(names), key=corpus_pipeline._turn) == names
