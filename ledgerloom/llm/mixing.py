@@ -3,10 +3,11 @@
 Each source's documents are dealt into blocks in a hashed order.  Block k of a
 source with weight w may start at slot floor((k - 1) / w) and is due by slot
 ceil(k / w); the earliest deadline among the blocks that may start takes the next
-slot.  Weights are whole shares a / H of a period of H slots, so one period is
-scheduled on the driver (H is bounded) and block k of any source has its slot by
-arithmetic: the schedule repeats.  At every slot a source has had its share of
-the slots so far, give or take less than one block.
+slot.  Weights are whole shares of a period of 2^60 slots, so that their rounding
+adds up to less than a millionth of a block over 2^40 slots; only the slots of the
+phase are worked out.  At every slot of it a source has had the part of the slots
+so far that its given weight says, give or take less than one block.  The driver
+walks over the blocks (one for `block_rows` rows) and keeps one number for each.
 
 Every document keeps exactly one place.  When a source runs out, the others go on
 from that slot with their weights scaled up, as a new phase.
@@ -16,37 +17,62 @@ from __future__ import annotations
 
 import heapq
 import math
+from array import array
+from collections.abc import Sequence
 from dataclasses import dataclass
+from fractions import Fraction
+from itertools import count
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.session import BROADCAST_ROWS
+
 #: The list of sources and their weights is metadata that the driver holds; beyond this many it refuses.
 MAX_SOURCES = 512
 BLOCK_ROWS = 64
 #: Rows that one window of the hashed order holds on average.
 BUCKET_ROWS = 10_000
 TEMPERATURE = 0.7
+#: Slots that the weights are whole shares of.
+PERIOD = 1 << 60
 ADDED = ("mix_block", "mix_slot", "mix_position")
 
 
+class Slots(Sequence):
+    """The slots of a source in one period: `share` of them, of which those to the end of the phase are worked out."""
+
+    def __init__(self, share: int):
+        self.share, self.known = share, array("q")
+
+    def __len__(self) -> int:
+        return self.share
+
+    def __getitem__(self, k):
+        return self.known[k]
+
+
 @dataclass(frozen=True)
 class Phase:
-    """Slots of one source from `block` on: slot `base` + periods passed * `period` + `offsets`."""
+    """Slots of one source from `block` on: slot `base` + `offsets`, which are so many of `period` slots."""
 
     block: int
     base: int
     period: int
-    offsets: list[int]
+    offsets: Slots
 
 
 def shares(weights: list[float], period: int) -> list[int]:
     """Whole shares of the period by largest remainder, one at least for each source."""
-    total = sum(weights)
-    ideal = [w / total * period for w in weights]
-    own = [max(1, math.floor(x)) for x in ideal]
-    order = sorted(range(len(own)), key=lambda i: (own[i] - ideal[i], i))
+    exact = [Fraction(w) for w in weights]
+    unit = math.lcm(*(x.denominator for x in exact))
+    ideal = [period * x.numerator * (unit // x.denominator) for x in exact]
+    total = sum(ideal) // period
+    own = [max(1, x // total) for x in ideal]
+    order = sorted(range(len(own)), key=lambda i: (own[i] * total - ideal[i], i))
     while (gap := period - sum(own)) != 0:
         if gap > 0:
             for i in order[:gap]:
@@ -57,19 +83,22 @@ def shares(weights: list[float], period: int) -> list[int]:
     return own
 
 
-def one_period(own: list[int], period: int) -> list[list[int]]:
-    """The slots of each source in one period: earliest deadline first among the blocks that are released."""
-    released: list[list[tuple[int, int]]] = [[] for _ in range(period)]
-    for i, a in enumerate(own):
-        for k in range(1, a + 1):
-            released[(k - 1) * period // a].append((-(-k * period // a), i))
-    slots: list[list[int]] = [[] for _ in own]
-    heap: list[tuple[int, int]] = []
-    for t in range(period):
-        for entry in released[t]:
-            heapq.heappush(heap, entry)
-        slots[heapq.heappop(heap)[1]].append(t)
-    return slots
+def one_phase(left: list[int], own: list[int], period: int) -> tuple[list[Slots], int]:
+    """The slots of each source until one runs out, and their number: earliest deadline first among the released blocks."""
+    slots = [Slots(a) for a in own]
+    ready = [(-(-period // a), i) for i, a in enumerate(own)]
+    heapq.heapify(ready)
+    later: list[tuple[int, int]] = []
+    for t in count():
+        while later and later[0][0] <= t:
+            i = heapq.heappop(later)[1]
+            heapq.heappush(ready, (-(-(len(slots[i].known) + 1) * period // own[i]), i))
+        i = heapq.heappop(ready)[1]
+        slots[i].known.append(t)
+        done = len(slots[i].known)
+        if done == left[i]:
+            return slots, t + 1
+        heapq.heappush(later, (done * period // own[i], i))
 
 
 def schedule(blocks: list[int], weights: list[float]) -> list[list[Phase]]:
@@ -77,30 +106,26 @@ def schedule(blocks: list[int], weights: list[float]) -> list[list[Phase]]:
     left, done, base = list(blocks), [0] * len(blocks), 0
     phases: list[list[Phase]] = [[] for _ in blocks]
     while alive := [i for i, n in enumerate(left) if n > 0]:
-        period = max(1024, 16 * len(alive)) if len(alive) > 1 else 1
-        own = shares([weights[i] for i in alive], period)
-        slots = one_period(own, period)
-        ends = [(left[i] - 1) // a * period + s[(left[i] - 1) % a] + 1 for i, a, s in zip(alive, own, slots)]
-        end = min(ends)
-        for i, a, s in zip(alive, own, slots):
-            phases[i].append(Phase(done[i], base, period, s))
-            n = end // period * a + sum(x < end % period for x in s)
-            left[i] -= n
-            done[i] += n
+        slots, end = one_phase([left[i] for i in alive], shares([weights[i] for i in alive], PERIOD), PERIOD)
+        for i, s in zip(alive, slots):
+            phases[i].append(Phase(done[i], base, PERIOD, s))
+            left[i] -= len(s.known)
+            done[i] += len(s.known)
         base += end
     return phases
 
 
-_PHASES = T.ArrayType(
-    T.StructType(
-        [
-            T.StructField("block", T.LongType()),
-            T.StructField("base", T.LongType()),
-            T.StructField("period", T.LongType()),
-            T.StructField("offsets", T.ArrayType(T.LongType())),
-        ]
-    )
-)
+def places(plan: list[list[Phase]]) -> pa.Table:
+    """(_mix_n, _mix_nth, mix_slot): the slot of every block of every source."""
+    found = [np.asarray(p.offsets.known) + p.base for own in plan for p in own]
+    sizes = [sum(len(p.offsets.known) for p in own) for own in plan]
+    none = np.zeros(0, np.int64)
+    columns = {
+        "_mix_n": np.repeat(np.arange(len(plan)), sizes),
+        "_mix_nth": np.concatenate([none, *map(np.arange, sizes)]),
+        "mix_slot": np.concatenate([none, *found]),
+    }
+    return pa.table({k: pa.array(v.astype(np.int64)) for k, v in columns.items()})
 
 
 def mix(
@@ -130,10 +155,10 @@ def mix(
         if not weights or min(weights.values()) <= 0:
             raise ValueError("weights must be positive")
         heavy = [float(weights.get(r[source], min(weights.values()))) for r in sizes]
-    plan = schedule([-(-n // block_rows) for n in rows], heavy)
+    slots = places(schedule([-(-n // block_rows) for n in rows], heavy))
     table = spark.createDataFrame(
-        [(r[source], [(p.block, p.base, p.period, p.offsets) for p in own]) for r, own in zip(sizes, plan)],
-        T.StructType([T.StructField("_mix_source", docs.schema[source].dataType), T.StructField("_mix_phases", _PHASES)]),
+        [(r[source], n) for n, r in enumerate(sizes)],
+        T.StructType([T.StructField("_mix_source", docs.schema[source].dataType), T.StructField("_mix_n", T.LongType())]),
     )
 
     buckets = max(1, -(-total // BUCKET_ROWS))
@@ -151,16 +176,12 @@ def mix(
     ranked = ranked.join(before, ranked[source].eqNullSafe(before["_mix_of"]) & (F.col("_mix_bucket") == F.col("_mix_in")))
     rank = F.col("_mix_before") + F.col("_mix_rank")
     ranked = ranked.withColumn("_mix_rank", rank).withColumn("mix_block", F.floor(rank / block_rows).cast("long"))
-    # At most MAX_SOURCES rows with a period each for every phase.
+    # At most MAX_SOURCES rows.
     mixed = ranked.join(F.broadcast(table), ranked[source].eqNullSafe(table["_mix_source"]))
-    phase = F.element_at(F.filter("_mix_phases", lambda p: p["block"] <= F.col("mix_block")), -1)
-    mixed = mixed.withColumn("_mix_phase", phase).withColumn("_mix_nth", F.col("mix_block") - F.col("_mix_phase.block"))
-    a = F.size("_mix_phase.offsets")
-    slot = (
-        F.col("_mix_phase.base")
-        + F.floor(F.col("_mix_nth") / a) * F.col("_mix_phase.period")
-        + F.element_at(F.col("_mix_phase.offsets"), (F.col("_mix_nth") % a + 1).cast("int"))
-    )
-    mixed = mixed.withColumn("mix_slot", slot.cast("long"))
+    # One row of three numbers for each block: sent to the rows while it is small, else joined by shuffle.
+    small = slots.num_rows <= BROADCAST_ROWS
+    slots = spark.createDataFrame(slots).withColumnRenamed("_mix_n", "_mix_m")
+    slots = F.broadcast(slots) if small else slots
+    mixed = mixed.join(slots, (F.col("_mix_n") == F.col("_mix_m")) & (F.col("mix_block") == F.col("_mix_nth")))
     position = F.col("mix_slot") * block_rows + F.col("_mix_rank") % block_rows
     return mixed.withColumn("mix_position", position).select(*docs.columns, *ADDED)

@@ -1,10 +1,12 @@
 """Archives, mixing, search and the pipeline; and the SQL of those queries that have it."""
 
 import io
+import math
 import random
 import struct
 import zipfile
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,6 +103,38 @@ def test_schedule_keeps_within_a_block():
                 assert all(abs(so_far[i] - share[i] * (t - a + 1)) < 1 for i in share)
 
 
+def test_schedule_keeps_to_the_weights_given():
+    """Long phases, and weights that no short period can express."""
+    for blocks, weights in (
+        ([30_000, 30_000, 30_000], [1.0, math.pi, 0.7]),
+        ([60_000, 20, 40_000], [1.0, 1e-4, 0.618]),
+        ([20_000] * 4 + [5] * 8, [1 / 3, 0.1, 0.77, 0.2, *[1e-5] * 8]),
+    ):
+        plan = mixing.schedule(blocks, weights)
+        bases = sorted({p.base for own in plan for p in own}) + [sum(blocks)]
+        order = np.full(sum(blocks), -1)
+        for i, own in enumerate(plan):
+            slots = np.concatenate([np.asarray(p.offsets.known) + p.base for p in own])
+            assert (np.diff(slots) > 0).all() and len(slots) == blocks[i]
+            order[slots] = i
+        assert (order >= 0).all()
+        left = np.array(blocks)
+        for a, b in zip(bases, bases[1:]):
+            total = sum(w for w, n in zip(weights, left) if n)
+            for i in np.flatnonzero(left):
+                so_far = np.cumsum(order[a:b] == i)
+                assert np.abs(so_far - weights[i] / total * np.arange(1, b - a + 1)).max() < 1 + 1e-6
+            left = left - np.bincount(order[a:b], minlength=len(blocks))
+            assert b == sum(blocks) or (left[order[b - 1]] == 0)
+
+
+def test_mix_joins_slots_by_shuffle_too(spark, monkeypatch):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "source")
+    expected = sorted(mixing.mix(docs, block_rows=2).collect())
+    monkeypatch.setattr(mixing, "BROADCAST_ROWS", 0)
+    assert sorted(mixing.mix(docs, block_rows=2).collect()) == expected
+
+
 def test_mix_places_each_row_once(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     mixed = mixing.mix(docs, {"src0": 3.0, "src1": 1.0}, block_rows=2).orderBy("mix_position").collect()
