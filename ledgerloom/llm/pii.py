@@ -2,15 +2,20 @@
 
 The field is trained in numpy on the labelled lines of TAUGHT (a small table,
 the same whatever the data), and decoded by Viterbi, many windows of a slice
-side by side.  It reads the windows of REACH characters around each digit, at
-sign or spelt sign; everywhere else it says "nothing" by definition.  Its spans are added only
-where they touch none of the exact patterns, so that those always stay.
+side by side.  A span counts only if it is plausible, and each such span holds a
+digit, an at sign or the word "at" in any case.  So the field reads windows that
+have REACH words on either side of each of these (and of the word "dot"), and no
+place where it could add a span is left out.  Windows are bounded, as the field is
+taught on single lines: through long prose it runs on, and such spans are refused.
+Its spans are added only where they touch none of the exact patterns, so that
+those always stay.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -26,7 +31,8 @@ from ledgerloom.llm.common import pieces
 KINDS = ("email", "ip", "card", "phone")
 #: Labels of the field: nothing, then begin and inside of each kind.
 LABELS = ["O", *(f"{p}-{k}" for k in KINDS for p in "BI")]
-REACH = 48
+#: Words that a window has on either side of its signs, which lie within 2 * REACH words.
+REACH = 10
 FEATURES = 1 << 12
 #: Cells of one padded batch of windows: windows times tokens.
 CELLS = 1 << 17
@@ -103,7 +109,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_SIGN = re.compile(r"[0-9@]| dot |[(\[](?:at|dot)[)\]]")
+#: What each plausible span holds; "dot" as well, so that windows reach around it.
+_SIGN = re.compile(r"([0-9@]|(?<![^\W_])(?i:at|dot)(?![^\W_]))")
 _AWAY = {c: None for c in map(ord, " ().-+")}
 
 
@@ -151,26 +158,20 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
-def windows(text: str) -> Iterator[tuple[int, int]]:
-    """The stretches that the field reads, widened to white space where there is some nearby, merged where they meet."""
-    begin = end = -1
-    for m in _SIGN.finditer(text):
-        a, b = max(0, m.start() - REACH), min(len(text), m.end() + REACH)
-        if a <= end:
-            end = b
-            continue
-        if end >= 0:
-            yield _widen(text, begin, end)
-        begin, end = a, b
-    if end >= 0:
-        yield _widen(text, begin, end)
+def signs(text: str, places: list[tuple[int, int]]) -> list[int]:
+    """The numbers of the words that hold a digit or an at sign, or are a spelt sign."""
+    begins = [a for a, _ in places]
+    return sorted({bisect_right(begins, m.start(1)) - 1 for m in _SIGN.finditer(text)})
 
 
-def _widen(text: str, a: int, b: int) -> tuple[int, int]:
-    for _ in range(REACH // 2 - 1):
-        a -= a > 0 and not text[a - 1].isspace()
-        b += b < len(text) and not text[b].isspace()
-    return a, b
+def windows(words: list[int], last: int) -> Iterator[tuple[int, int, int, int]]:
+    """(start, end, first, next) of bounded windows over the `last` words of a text: each owns the signs in `words` from
+    word `first` to before `next`."""
+    k = 0
+    while k < len(words):
+        j = bisect_right(words, words[k] + 2 * REACH)
+        yield max(0, words[k] - REACH), min(last, words[j - 1] + REACH + 1), words[k], words[j] if j < len(words) else last
+        k = j
 
 
 def shape(token: str) -> str:
@@ -328,7 +329,7 @@ def plausible(kind: str, found: str) -> bool:
     """Whether a span of the field can be of its kind at all: a spelt address, or as many digits as the kind has."""
     numbers = re.findall("[0-9]+", found)
     if kind == "email":
-        return bool(_SPELT.fullmatch(found)) and ("." in found or " dot" in found.lower() or "[dot" in found.lower())
+        return bool(_SPELT.fullmatch(found)) and bool(re.search(r"(?i)\.|[ (\[]dot", found))
     if kind == "ip":
         return len(numbers) >= 4 and all(len(p) <= 3 and int(p) <= 255 for p in numbers[:4])
     low, high = (13, 19) if kind == "card" else (7, 15)
@@ -338,22 +339,29 @@ def plausible(kind: str, found: str) -> bool:
 
 def added_spans(texts: list[str], base: list[list[Span]], field: Field) -> list[list[Span]]:
     """The field's spans of each text that touch none of its base spans."""
-    where, rows = [], []
+    places = [[m.span() for m in _TOKEN.finditer(t)] if _SIGN.search(t) else [] for t in texts]
+    where, rows, owned = [], [], []
     for k, text in enumerate(texts):
-        for a, b in windows(text):
-            places, words, gaps = tokens_of(text, a, b)
-            where.append((k, places))
-            rows.append(features(words, gaps))
+        owned.append(signs(text, places[k]))
+        for a, b, first, after in windows(owned[k], len(places[k])):
+            own = places[k][a:b]
+            gaps = [True, *(x[1] < y[0] for x, y in zip(own, own[1:])), True]
+            where.append((k, a, first, after))
+            rows.append(features([text[x:y] for x, y in own], gaps))
     found: list[list[Span]] = [[] for _ in texts]
-    for (k, places), labels in zip(where, field.viterbi(rows)):
+    for (k, at, first, after), labels in zip(where, field.viterbi(rows)):
         starts = np.flatnonzero(labels % 2 == 1)
         for i in starts.tolist():
             j = i + 1
             while j < len(labels) and labels[j] == labels[i] + 1:
                 j += 1
-            a, b = places[i][0], places[j - 1][1]
+            n = bisect_left(owned[k], at + i)
+            # A span belongs to the window that owns its first sign.
+            if n == len(owned[k]) or not first <= owned[k][n] < min(after, at + j):
+                continue
+            a, b = places[k][at + i][0], places[k][at + j - 1][1]
             kind = KINDS[(labels[i] - 1) // 2]
-            if plausible(kind, texts[k][a:b]) and all(s.end <= a or b <= s.start for s in base[k]):
+            if plausible(kind, texts[k][a:b]) and all(s.end <= a or b <= s.start for s in [*base[k], *found[k]]):
                 found[k].append(Span(kind, a, b, False))
     return found
 

@@ -87,6 +87,27 @@ def test_the_field_learns_its_table_and_leaves_prose_alone(texts):
     assert sum(map(len, pii.added_spans(list(texts.values()), base, field))) < 5
 
 
+def test_windows_are_wherever_a_span_can_be():
+    """Every plausible span holds a sign, each sign has one window of bounded length, and spelt signs count in any case."""
+    rnd, parts, kept = random.Random(6), ["jane", "x", " ", ".", "_", "-", "\n", "AT", "at", "At", "(", ")", "[", "]", "@", "dot", "DOT", "é", "7", "42", "٣"], 0
+    for _ in range(40_000):
+        text = "".join(rnd.choice(parts) for _ in range(rnd.randint(1, 14)))
+        found = pii.signs(text, pii.tokens_of(text, 0, len(text))[0])
+        if any(pii.plausible(k, text) for k in pii.KINDS):
+            kept += 1
+            assert found, text
+    assert kept > 100
+    for n in (1, 50, 400):
+        words = sorted(rnd.sample(range(1000), n))
+        own = [(a, b, [w for w in words if first <= w < after]) for a, b, first, after in pii.windows(words, 1000)]
+        assert [w for _, _, inside in own for w in inside] == words
+        assert all(b - a <= 4 * pii.REACH + 1 and a <= max(0, w - pii.REACH) and min(1000, w + pii.REACH + 1) <= b for a, b, inside in own for w in inside)
+    assert pii.plausible("email", "jane (at) example (dot) com") and pii.plausible("email", "JANE AT EXAMPLE DOT COM")
+    far = "and so the day went on without any word from them " * 5
+    for text in ("write to jane [AT] example [DOT] com soon", f"{far}\nwrite to jane [At] example [Dot] com soon"):
+        assert [text[s.start : s.end].lower() for s in pii.added_spans([text], [[]], pii.train())[0]] == ["jane [at] example [dot] com"]
+
+
 def test_lines(rows):
     rnd = random.Random(4)
     pool = [" ".join(rnd.choice("abcdef") * 3 for _ in range(rnd.randint(0, 9))) for _ in range(12)]
