@@ -25,7 +25,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later copies of line runs; those of which no word is left go."""
     left = linededup.drop_later_copies(docs.select(*COLUMNS))
-    left = left.where("n_deleted = 0 OR text RLIKE '[^ \\\\t\\\\n\\\\r]'")
+    left = left.where((F.col("n_deleted") == 0) | F.col("text").rlike(f"[^{linededup.BLANK}]"))
     n_chars = F.when(F.col("n_deleted") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
     return left.withColumn("n_chars", n_chars).select(*COLUMNS)
 

@@ -40,9 +40,13 @@ def _name(*parts: Column) -> Column:
     return F.struct(F.xxhash64(*parts, F.lit(0)).alias("a"), F.xxhash64(*parts, F.lit(1)).alias("b"))
 
 
+#: White space of any kind, as a class of Java's patterns: what words are parted by.
+BLANK = r"\s\x1C-\x1F\x{85}\p{Z}"
+
+
 def _words(line: Column) -> Column:
-    """Words of a line: stretches without a blank."""
-    return F.size(F.array_remove(F.split(line, " "), ""))
+    """Words of a line: stretches without white space."""
+    return F.size(F.array_remove(F.split(line, f"[{BLANK}]+"), ""))
 
 
 def _upto(words: Column, least: int) -> Column:

@@ -129,6 +129,17 @@ def test_lines(rows):
     assert sum(r.n_deleted for r in found) > 20
 
 
+@pytest.mark.parametrize("blank", ["\t", "\u00a0", "\u3000", "\r", "\x0b\x0c", "\x1c", "\x85", "\u2028"])
+def test_lines_count_words_by_any_white_space(rows, blank):
+    passage = [blank.join(f"c{n}x{k}" for k in range(20)) for n in range(3)]
+    assert 50 < sum(len(line.split()) for line in passage)
+    short = blank.join(f"s{k}" for k in range(30))
+    empty = blank * 60
+    docs = [(1, "\n".join(["one", *passage, short])), (2, "\n".join(["two", *passage, "end", short])), (3, f"three\n{empty}"), (4, f"four\n{empty}")]
+    found = {r.doc_id: (r.n_deleted, r.text) for r in linededup.drop_later_copies(rows("doc_id long, text string", docs)).collect()}
+    assert found == {1: (0, docs[0][1]), 2: (3, f"two\nend\n{short}"), 3: (0, docs[2][1]), 4: (0, docs[3][1])}
+
+
 def test_fingerprints(rows, texts):
     found = {r.doc_id: r for r in fingerprints.fingerprint_edits(rows("doc_id long, text string", list(texts.items()))).collect()}
     order = sorted(texts, reverse=True)
