@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, fingerprints, jaccard, linededup, mixing, pii, suffixes, topk, toxicity, warc
+from ledgerloom.llm import bpe, fingerprints, jaccard, linededup, mixing, pii, repair, suffixes, topk, toxicity, warc
+from ledgerloom.llm.audit_sql import OP13_SQL
 from ledgerloom.llm.common import table
 
 
@@ -84,6 +85,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repair.repair(repair.damaged(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")))
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit"]
+    return found.report.join(found.digests(), "conv").select("conv_id", *counts, "repaired_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_line_dedup": op2_line_dedup,
@@ -95,9 +102,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_topk": op9_topk,
     "op10_pii": op10_pii,
+    "op13_repair": op13_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op13_repair": OP13_SQL,
     "op9_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS w
