@@ -4,6 +4,40 @@
 _CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({key}, ''), lambda ch: ascii(ch)::BIGINT)),
     lambda acc, b: list_reduce(list_prepend(xor(acc, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"""
 
+OP11_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), said AS (SELECT id, lang, source, unnest(terms) AS term FROM docs),
+kept AS (SELECT lang, term, count(*)::HUGEINT AS n FROM said GROUP BY lang, term HAVING count(DISTINCT id) >= 30),
+counts AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM said SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+langs AS (SELECT lang, sum(n) + 5 * count(*) AS size FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+sizes AS (
+  SELECT g.lang, g.source, coalesce((SELECT sum(n) FROM counts c WHERE c.lang = g.lang AND c.source = g.source), 0)
+         + 5 * (SELECT count(*) FROM kept k WHERE k.lang = g.lang) AS size
+  FROM groups g
+), shares AS (
+  SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // s.size::HUGEINT AS p,
+         1 + (1000000000::HUGEINT * (k.n + 5)) // l.size::HUGEINT AS q
+  FROM sizes s JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term
+), apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS f FROM shares a JOIN shares b USING (lang, term)
+  WHERE a.source <> b.source GROUP BY ALL
+), parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f, 0) AS f
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY f DESC, encode(item)) AS rank FROM parts
+)
+SELECT lang, source, part, item, f::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
 
 def _then(way: str, cost: str, edit: str) -> str:
     return f"CASE WHEN {way} IS NOT NULL THEN {{'c': {way}.c + {cost}, 'a': {way}.a || '{edit}'}} END"

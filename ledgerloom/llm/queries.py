@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, fingerprints, jaccard, linededup, mixing, pii, repair, suffixes, topk, toxicity, warc
-from ledgerloom.llm.audit_sql import OP13_SQL
+from ledgerloom.llm import bpe, divergence, fingerprints, jaccard, linededup, mixing, pii, quality, repair, suffixes, topk, toxicity, warc
+from ledgerloom.llm.audit_sql import OP11_SQL, OP13_SQL
 from ledgerloom.llm.common import table
 
 
@@ -85,6 +85,15 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents", "text", "lang", "source"))
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", "good")
+
+
 def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repair.repair(repair.damaged(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")))
     counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit"]
@@ -102,10 +111,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_topk": op9_topk,
     "op10_pii": op10_pii,
+    "op11_divergence": op11_divergence,
+    "op12_quality": op12_quality,
     "op13_repair": op13_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op11_divergence": OP11_SQL,
     "op13_repair": OP13_SQL,
     "op9_topk": """
         WITH v AS (

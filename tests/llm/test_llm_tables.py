@@ -27,7 +27,7 @@ def test_query_equals_sql(spark, name):
 
 def test_all_are_registered():
     names = set(spark_entry.queries())
-    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", ["op2_line_dedup", "op3_fingerprints"])
