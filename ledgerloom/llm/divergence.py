@@ -22,7 +22,7 @@ SLICE bytes.  Further columns are left aside; an empty table gives an empty tabl
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +36,7 @@ from ledgerloom.session import store, write_once
 #: Fixed values of the measure.
 SCALE, ADDED, MIN_DOCS, TERM_RANKS = 1_000_000_000, 5, 30, 50
 
-BLOCK_ENTRIES = 1 << 18  # (term, source) entries that a task holds before it spills a run
+BLOCK_ENTRIES = 1 << 19  # (term, source) entries that a task holds before it spills a run
 SLICE = 1 << 20  # bytes of a text split at once
 STREAM_ROWS = 1 << 15  # merged postings that a task looks at together
 PAIR_CELLS = 1 << 18  # corrections of pairs that a task adds up together
@@ -62,39 +62,45 @@ def _slices(data: bytes) -> Iterator[list[bytes]]:
 
 
 class Block:
-    """Postings in memory: for each group and term the occurrences and documents so far."""
+    """Postings in memory: for each group the occurrences of its terms, and the documents that hold them."""
 
     def __init__(self) -> None:
-        self.groups: dict[tuple[str, str], dict[bytes, list[int]]] = defaultdict(dict)
+        self.groups: dict[tuple[str, str], tuple[Counter, Counter]] = defaultdict(lambda: (Counter(), Counter()))
         self.entries = 0
 
     def add(self, group: tuple[str, str], text: bytes, limit: int) -> Iterator[pa.RecordBatch]:
         """Counts one document; gives a run wherever the block is full, within a long document too."""
         seen: set[bytes] = set()
         for terms in _slices(text):
-            held = self.groups[group]
-            before = len(held)
-            for term in terms:
-                entry = held.get(term)
-                if entry is None:
-                    entry = held[term] = [0, 0]
-                entry[0] += 1
-                if term not in seen:
-                    seen.add(term)
-                    entry[1] += 1
-            self.entries += len(held) - before
+            said, held = self.groups[group]
+            before = len(said)
+            said.update(terms)
+            new = set(terms)
+            if seen:
+                new -= seen
+                seen |= new
+            elif len(text) > SLICE:
+                seen = new
+            held.update(new)
+            self.entries += len(said) - before
             if self.entries >= limit:
                 yield from self.run()
 
     def run(self) -> Iterator[pa.RecordBatch]:
         """All postings sorted by language, term and source; the block is empty afterwards."""
-        rows = sorted((lang, term, source, n, d) for (lang, source), held in self.groups.items() for term, (n, d) in held.items())
+        if not self.entries:
+            return
+        groups, sizes = list(self.groups), [len(said) for said, _ in self.groups.values()]
+        of = np.repeat(np.arange(len(groups)), sizes)
+        lang, source = (pa.array([g[k] for g in groups]).take(pa.array(of)) for k in (0, 1))
+        term = pa.array([t for said, _ in self.groups.values() for t in said], pa.binary())
+        count = pa.array([n for said, _ in self.groups.values() for n in said.values()], pa.int64())
+        docs = pa.array([held[t] for said, held in self.groups.values() for t in said], pa.int64())
+        run = pa.Table.from_arrays([lang, term.cast(pa.string()), source, count, docs], schema=_RUN)
         self.groups.clear()
         self.entries = 0
-        for at in range(0, len(rows), STREAM_ROWS):
-            lang, term, source, count, docs = zip(*rows[at : at + STREAM_ROWS])
-            names = pa.array(term, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(lang), names, pa.array(source), pa.array(count), pa.array(docs)], schema=_RUN)
+        run = run.sort_by([("lang", "ascending"), ("term", "ascending"), ("source", "ascending")])
+        yield from run.to_batches(max_chunksize=STREAM_ROWS)
 
 
 def _index(limit: int):
