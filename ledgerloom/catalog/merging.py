@@ -12,7 +12,7 @@ from ledgerloom.operators.merge import Register
     """
     WITH p AS (SELECT p_partkey, CASE WHEN p_partkey % 50 <> 0 THEN p_brand END AS brand, p_size::BIGINT AS size FROM part),
     t AS (SELECT brand, size, min(p_partkey) AS src FROM p WHERE p_partkey % 2 = 0 AND brand IS NOT NULL GROUP BY ALL),
-    b AS (SELECT * FROM p WHERE p_partkey % 2 = 1 OR p_partkey % 3 = 0)
+    b AS (SELECT * FROM p WHERE p_partkey % 2 = 1 OR p_partkey % 3 = 0 OR brand IS NULL)
     SELECT brand, size, src FROM t
     UNION ALL
     SELECT brand, size, min(p_partkey) FROM b WHERE brand IS NOT NULL
@@ -21,13 +21,14 @@ from ledgerloom.operators.merge import Register
     """,
 )
 def insert_if_absent(spark, d):
+    """Every part is in the table, in the batch or in both."""
     p = Tables(spark, d)("part", "p_partkey", "p_brand", "p_size").select(
         F.when(F.col("p_partkey") % 50 != 0, F.col("p_brand")).alias("brand"),
         F.col("p_size").cast("long").alias("size"),
         F.col("p_partkey").alias("src"),
     )
     table = merge.first_by(p.filter("src % 2 = 0 and brand is not null"), ["brand", "size"], ["src"])
-    return merge.insert_if_absent(table, p.filter("src % 2 = 1 or src % 3 = 0"), ["brand", "size"], ["src"])
+    return merge.insert_if_absent(table, p.filter("src % 2 = 1 or src % 3 = 0 or brand is null"), ["brand", "size"], ["src"])
 
 
 @query(
@@ -97,7 +98,10 @@ def upsert_subset(spark, d):
     """,
 )
 def precedence_merge(spark, d):
-    """Four registers, three of them with many rows per code, equal ones too, and with NULL notes in between."""
+    """Four registers, three of them with many rows per code, equal ones too, and with NULL notes in between.
+
+    The first register lacks every fifth customer, so that some codes are known from later registers only.
+    """
     t = Tables(spark, d)
     customers = t("customer", "c_custkey", "c_name", "c_mktsegment").filter("c_custkey % 5 <> 0")
     clients = customers.select(
