@@ -235,6 +235,41 @@ def recode_all_query(spark, d):
     return union_all([df.select(F.lit(n).alias("tbl"), *df.columns) for n, df in recoded.items()], allow_missing=True)
 
 
+@query(
+    "recode_large",
+    """
+    WITH x AS (SELECT o_orderkey AS k, 'wk' || (o_orderkey * 3) AS code FROM orders WHERE o_orderkey % 5 <> 0)
+    SELECT 'line' AS tbl, l_orderkey * 10 + l_linenumber AS id, a.code AS first_work, b.code AS second_work, c.code AS third_work
+    FROM lineitem LEFT JOIN x a ON l_orderkey = a.k LEFT JOIN x b ON l_partkey = b.k LEFT JOIN x c ON c.k = CASE WHEN l_linenumber < 3 THEN 7 END
+    UNION ALL
+    SELECT 'event', event_id, a.code, b.code, NULL FROM events LEFT JOIN x a ON event_id = a.k LEFT JOIN x b ON user_id = b.k
+    UNION ALL
+    SELECT 'order', o_orderkey, x.code, NULL, NULL FROM orders LEFT JOIN x ON o_custkey = x.k
+    """,
+)
+def recode_large_query(spark, d):
+    """Six reference columns of three tables through a crosswalk that is too large to be sent; one code is very frequent."""
+    t = Tables(spark, d)
+    orders = t("orders", "o_orderkey", "o_custkey")
+    lines = t("lineitem", "l_orderkey", "l_linenumber", "l_partkey")
+    text = lambda c: F.col(c).cast("string")
+    key = F.col("o_orderkey")
+    pairs = orders.filter(key % 5 != 0).select(text("o_orderkey").alias("old"), F.concat(F.lit("wk"), (key * 3).cast("string")).alias("new"))
+    tables = {
+        "line": lines.select(
+            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("long").alias("id"),
+            text("l_orderkey").alias("first_work"),
+            text("l_partkey").alias("second_work"),
+            F.when(F.col("l_linenumber") < 3, "7").alias("third_work"),
+        ),
+        "event": t("events", "event_id", "user_id").select(F.col("event_id").alias("id"), text("event_id").alias("first_work"), text("user_id").alias("second_work")),
+        "order": orders.select(key.alias("id"), text("o_custkey").alias("first_work")),
+    }
+    spec = {"line": ["first_work", "second_work", "third_work"], "event": ["first_work", "second_work"], "order": ["first_work"]}
+    recoded = recode_all(tables, one_to_one(pairs, "old", "new"), spec, hot_rows=10_000, send_small=False)
+    return union_all([df.select(F.lit(n).alias("tbl"), *df.columns) for n, df in recoded.items()], allow_missing=True)
+
+
 @query(
     "unmatched_references",
     """

@@ -1,5 +1,7 @@
 """Hot keys, numbering and merges: the same result whatever the key distribution and partitioning."""
 
+import contextlib
+import io
 import random
 
 import pytest
@@ -58,6 +60,34 @@ def test_recode_keeps_rows_and_nulls_the_rest(rows):
     assert bag(crosswalk.unmatched({"t": table}, walk, {"t": ["k"]})) == [("t", "k", lost)]
 
 
+def test_melted_recode_moves_a_table_once(spark, rows, partitions):
+    """Three reference columns, one hot code, rows without any code, repeated rows, and a payload that travels once."""
+    rnd = random.Random(4)
+    pick = lambda: rnd.choice(["hot", "hot", "lost", None, "k1", "k2"])
+    data = [(rnd.randrange(5), pick(), pick(), pick(), "x" * 50) for _ in range(300)] + [(9, None, None, None, "none")]
+    new = {"hot": "a1", "k1": "b", "k2": "c"}
+    table = rows("__id int, a string, b string, c string, payload string", data)
+    other = rows("a string, n int", [("hot", 1), (None, 2)])
+    walk = crosswalk.one_to_one(rows("old string, new string", list(new.items())), "old", "new")
+    want = sorted(((i, *(new.get(x) for x in codes), p) for i, *codes, p in data), key=repr)
+    for hot_rows in (20, 10_000):
+        spec = {"t": ["a", "b", "c"], "o": ["a"]}
+        got = crosswalk.recode_all({"t": table, "o": other, "left": other}, walk, spec, hot_rows, send_small=False)
+        assert bag(got["t"]) == want and got["t"].columns == table.columns
+        assert bag(got["o"]) == [("a1", 1), (None, 2)] and got["left"] is other
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    with contextlib.redirect_stdout(io.StringIO()) as plan:
+        got["t"].select("*").explain("formatted")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    exchanges = [x for x in plan.getvalue().split("\n\n") if ") Exchange" in x]
+    assert sum("payload" in x for x in exchanges) == 1
+    lost = {c: sum(r[k] == "lost" for r in data) for k, c in ((1, "a"), (2, "b"), (3, "c"))}
+    assert bag(crosswalk.unmatched({"t": table}, walk, {"t": ["a", "b", "c"]})) == [("t", c, n) for c, n in lost.items()]
+    with pytest.raises(TypeError):
+        crosswalk.recode(rows("a int, b int", [(1, 2)]), crosswalk.Crosswalk(session.Stored(walk.df, 10**9, 10**12), "old", "new"), ["a", "b"])
+
+
 def test_missing_from_and_attribute(rows):
     data = skewed()
     left = rows("i int, k string", data)
