@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-THEMES = ("shaping", "linking", "merging", "coding", "auditing", "resolution", "rebuild", "publishing", "job")
+THEMES = ("shaping", "linking", "merging", "coding", "auditing", "resolution", "rebuild", "publishing", "versions", "job")
 
 
 def all_entries():

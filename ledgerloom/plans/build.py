@@ -18,6 +18,7 @@ from ledgerloom.plans.registers import ledgers, registers
 from ledgerloom.plans.schemas import DATE_COLUMNS, DDL, DEFAULTS, DOMAINS, REFERENCES, keys, required, widths
 from ledgerloom.plans.sheets import sheet_events
 from ledgerloom.sources.sinks import append_to, publish
+from ledgerloom.sources.snapshots import publish_snapshot
 
 
 def seed_tables(spark: SparkSession) -> dict[str, DataFrame]:
@@ -35,17 +36,22 @@ def build(spark: SparkSession, src: Sources, options: Options = Options()) -> Jo
 
 
 def publish_build(
-    spark: SparkSession, src: Sources, path: str, options: Options = Options(), date_parts: bool = False
+    spark: SparkSession, src: Sources, path: str, options: Options = Options(), date_parts: bool = False, versioned: bool = False
 ) -> dict[str, int]:
     """Build and write everything; returns the rows written per table.
 
-    With `date_parts` every partial date comes with its parts and the real dates it spans.
+    With `date_parts` every partial date comes with its parts and the real dates it spans.  With `versioned` the tables become
+    the next version of a published folder, which readers see as a whole or not at all (`sources.snapshots`).
     """
     result = build(spark, src, options)
     tables = dict(result.tables)
     if date_parts:
         tables.update({n: with_date_parts(tables[n], *columns) for n, columns in DATE_COLUMNS.items()})
-    return publish({**tables, "rejects": all_rejects(result)}, path)
+    tables["rejects"] = all_rejects(result)
+    if versioned:
+        sorted_by = {n: keys(n)[0][0] for n in tables if n in DDL and keys(n) and len(keys(n)[0]) == 1}
+        return publish_snapshot(spark, tables, path, sorted_by).rows
+    return publish(tables, path)
 
 
 def all_rejects(result: JobResult) -> DataFrame:
