@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,3 +34,22 @@ def pieces(batches: Iterator[pa.RecordBatch], column: int = 1, size: int = SLICE
             yield batch.slice(start, stop - start)
             start = stop
 
+
+
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """`run`, a pass over the batches of a task, after which the worker hands back the memory that it no longer needs.
+
+    Workers are used again, and what one of them keeps adds to what an executor holds.
+    """
+
+    @functools.wraps(run)
+    def passed(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library: it keeps its own counsel
+            pass
+
+    return passed

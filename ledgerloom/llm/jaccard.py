@@ -27,23 +27,24 @@ different components is lost.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import shingles
-from ledgerloom.llm.common import SLICE_BYTES, pieces
+from ledgerloom.llm.common import SLICE_BYTES, lean, pieces
 from ledgerloom.llm.components import components
 from ledgerloom.session import Stored, store, write_once
 
 CELLS = 1 << 22
 _STRIPES = 64
 _CELL_SHIFT = np.uint64(64 - 22)
-#: Stands for a null key; larger than any other.
-NO_KEY = (1 << 63) - 1
+#: The number of a row.
+ROW = "__row"
 #: Rows that a task gets when lists are dealt out, and postings in one part of a list.
 TASK_ROWS = 500_000
 PART = 4_000
@@ -52,6 +53,9 @@ FAN = 500
 BLOCK = 64
 #: Pairs that are looked at in one go.
 PAIRS = 1 << 19
+#: Postings that a task packs together; more than any overlap.
+DEALT_ROWS = 1_000_000
+FAR = 1 << 40
 
 
 def required(a, b):
@@ -75,14 +79,15 @@ def rarity(docs: DataFrame) -> np.ndarray:
     hundred rows of a stripe.  The result has a fixed size (16 MB).
     """
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, salt = np.zeros(CELLS, np.int64), 0
+        cells, salt = np.zeros(CELLS, np.uint32), 0
         for batch in pieces(batches):
             names = shingles.sets(_texts(batch))
             salt ^= zlib.crc32(str(batch.column(0)[0]).encode())
-            cells += np.bincount((np.concatenate(names) >> _CELL_SHIFT).astype(np.int64), minlength=CELLS)
-        small = np.uint16 if cells.max(initial=0) < 1 << 16 else np.uint32
-        stripes = [x.astype(small).tobytes() for x in np.split(cells, _STRIPES)]
+            own, often = np.unique((np.concatenate(names) >> _CELL_SHIFT).astype(np.int32), return_counts=True)
+            cells[own] += often.astype(np.uint32)
+        stripes = [zlib.compress(x.tobytes(), 1) for x in np.split(cells, _STRIPES)]
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(_STRIPES), pa.int32()), pa.array([salt % 64] * _STRIPES, pa.int32()), pa.array(stripes, pa.binary())],
             names=["stripe", "salt", "counts"],
@@ -92,10 +97,10 @@ def rarity(docs: DataFrame) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for stripe, salt, counts in zip(*(c.to_pylist() for c in batch.columns)):
-                own = np.frombuffer(counts, np.uint16 if len(counts) == 2 * CELLS // _STRIPES else np.uint32)
+                own = np.frombuffer(zlib.decompress(counts), np.uint32)
                 sums[stripe] = np.minimum(own.astype(np.uint64) + sums.get(stripe, 0), 0xFFFFFFFF).astype(np.uint32)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.int32()), pa.array([0] * len(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())],
+            [pa.array(list(sums), pa.int32()), pa.array([0] * len(sums), pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for x in sums.values()], pa.binary())],
             names=["stripe", "salt", "counts"],
         )
 
@@ -104,14 +109,14 @@ def rarity(docs: DataFrame) -> np.ndarray:
     sums = sums.repartition(_STRIPES // 4, "stripe").mapInArrow(add, schema)
     cells = np.zeros((_STRIPES, CELLS // _STRIPES), np.uint32)
     for row in sums.collect():  # _STRIPES rows of a fixed size
-        cells[row["stripe"]] = np.frombuffer(row["counts"], np.uint32)
+        cells[row["stripe"]] = np.frombuffer(zlib.decompress(row["counts"]), np.uint32)
     return cells.reshape(-1)
 
 
-def documents(docs: DataFrame, cells: np.ndarray) -> DataFrame:
+def documents(docs: DataFrame, shared: Broadcast) -> DataFrame:
     """(key, a, b, n, prefix): each document's set, named by two sums over its shingles, its size, and its rarest shingles."""
-    shared = docs.sparkSession.sparkContext.broadcast(cells)
 
+    @lean
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in pieces(batches):
@@ -141,14 +146,48 @@ def documents(docs: DataFrame, cells: np.ndarray) -> DataFrame:
 _LISTED = pa.schema([("shingle", pa.int64()), ("part", pa.int32()), ("node", pa.int64()), ("n", pa.int64()), ("pos", pa.int32()), ("head", pa.int64())])
 
 
-def shared_lists(nodes: DataFrame, cells: np.ndarray, total: int) -> DataFrame:
+def _packed(columns: list[np.ndarray]) -> bytes:
+    """Postings in order of their names, as differences, with bytes of equal weight side by side."""
+    order = np.argsort(columns[0], kind="stable")
+    columns = [x[order] for x in columns]
+    columns[0] = np.diff(columns[0], prepend=np.uint64(0))
+    planes = [x.view(np.uint8).reshape(len(x), -1).T.tobytes() for x in columns]
+    return len(order).to_bytes(8, "little") + zlib.compress(b"".join(planes), 1)
+
+
+def _unpacked(blob: bytes) -> list[np.ndarray]:
+    n, planes, at, columns = int.from_bytes(blob[:8], "little"), zlib.decompress(blob[8:]), 0, []
+    for kind in (np.uint64, np.int32, np.int64, np.int32, np.int32):
+        width = np.dtype(kind).itemsize
+        own = np.frombuffer(planes, np.uint8, n * width, at).reshape(width, n)
+        columns.append(np.ascontiguousarray(own.T).view(kind).reshape(-1))
+        at += n * width
+    columns[0] = np.cumsum(columns[0], dtype=np.uint64)
+    return columns
+
+
+def shared_lists(nodes: DataFrame, shared: Broadcast, total: int) -> DataFrame:
     """(shingle, part, node, n, pos, head) of all index lists with several sets; head is the smallest node of its part.
 
-    A list of a shingle that may be frequent is dealt out in parts of about PART sets.
+    A list of a shingle that may be frequent is dealt out in parts of about PART sets.  Postings travel packed, those of
+    DEALT_ROWS at a time to each bucket.
     """
-    shared = nodes.sparkSession.sparkContext.broadcast(cells)
-
+    tasks = max(1, -(-total // TASK_ROWS))
+    buckets = 4 * tasks
+
+    def packed(held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        columns = [np.concatenate(x) for x in zip(*held)]
+        bucket = (shingles.mixed(columns[0] + columns[1].astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        edges = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+        for some in np.array_split(np.arange(len(edges)), 1 + len(edges) // 256):
+            stops = [int(edges[k + 1]) if k + 1 < len(edges) else len(order) for k in some]
+            blobs = [_packed([x[order[edges[k] : stop]] for x in columns]) for k, stop in zip(some, stops)]
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[order[edges[some]]], pa.int64()), pa.array(blobs, pa.binary())], names=["bucket", "postings"])
+
+    @lean
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
             node, n = np.asarray(batch.column(0)), np.asarray(batch.column(1))
             sizes = np.diff(np.asarray(batch.column(2).offsets))
@@ -157,18 +196,24 @@ def shared_lists(nodes: DataFrame, cells: np.ndarray, total: int) -> DataFrame:
             pos = np.arange(len(names)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             parts = _parts(names, shared.value)
             part = (shingles.mixed(node.view(np.uint64))[of] % parts.astype(np.uint64)).astype(np.int32)
-            for i in range(0, len(names), 200_000):
-                k = slice(i, i + 200_000)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names[k]), pa.array(part[k]), pa.array(node[of[k]]), pa.array(n[of[k]]), pa.array(pos[k].astype(np.int32))],
-                    schema=pa.schema(list(_LISTED)[:5]),
-                )
-
+            for i in range(0, len(names), DEALT_ROWS):
+                k = slice(i, i + DEALT_ROWS)
+                held.append([names[k].view(np.uint64), part[k], node[of[k]], n[of[k]].astype(np.int32), pos[k].astype(np.int32)])
+                size += len(held[-1][0])
+                if size >= DEALT_ROWS:
+                    yield from packed(held)
+                    held, size = [], 0
+        if size:
+            yield from packed(held)
+
+    @lean
     def list_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
+        got = [_unpacked(blob.as_py()) for b in batches for blob in b.column(1)]
         if not got:
             return
-        name, part, node, n, pos = (np.asarray(c) for c in pa.concat_tables(got).columns)
+        name, part, node, n, pos = (np.concatenate(x) for x in zip(*got))
+        del got
+        name = name.view(np.int64)
         order = np.lexsort((node, part, name))
         name, part, node, n, pos = (x[order] for x in (name, part, node, n, pos))
         new = np.concatenate([[True], (name[1:] != name[:-1]) | (part[1:] != part[:-1])])
@@ -177,13 +222,12 @@ def shared_lists(nodes: DataFrame, cells: np.ndarray, total: int) -> DataFrame:
         head = np.repeat(node[starts], lengths)
         # A part that holds one set counts if its list may have other parts.
         keep = np.repeat(lengths > 1, lengths) | (_parts(name, shared.value) > 1)
-        columns = [x[keep] for x in (name, part, node, n, pos, head)]
+        columns = [x[keep] for x in (name, part, node, n.astype(np.int64), pos, head)]
         for i in range(0, len(columns[0]), 200_000):
             yield pa.RecordBatch.from_arrays([pa.array(x[i : i + 200_000]) for x in columns], schema=_LISTED)
 
-    tasks = max(1, -(-total // TASK_ROWS))
-    rows = nodes.select("key", "n", "prefix").mapInArrow(deal, "shingle long, part int, node long, n long, pos int")
-    return rows.repartition(tasks, "shingle", "part").mapInArrow(list_up, "shingle long, part int, node long, n long, pos int, head long")
+    rows = nodes.select("key", "n", "prefix").mapInArrow(deal, "bucket long, postings binary")
+    return rows.repartition(tasks, "bucket").mapInArrow(list_up, "shingle long, part int, node long, n long, pos int, head long")
 
 
 def _parts(name: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -193,13 +237,12 @@ def _parts(name: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return 1 + often // PART
 
 
-def compared(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(a, b, overlap, na, nb) of each pair of nodes (a, b), counted on the whole texts.
+def _met(rows: DataFrame, pairs: DataFrame, pack: Callable, compare: Callable, found: str) -> DataFrame:
+    """What `compare` says of each pair of nodes (a, b), given what `pack` makes of their rows (key, value).
 
-    Each text travels packed to where its pairs are compared: once for each FAN pairs of a first node, and once for
+    Each value travels packed to where its pairs are compared: once for each FAN pairs of a first node, and once for
     each pair of a second.  The first nodes that occur often are so spread over many tasks.
     """
-    pairs = write_once(pairs, "pairs")
     fans = pairs.groupBy("a").count().select("a", F.ceil(F.col("count") / FAN).cast("int").alias("fans"))
     pairs = pairs.join(fans, "a").withColumn("fan", F.pmod(F.xxhash64("b"), F.col("fans")).cast("int"))
     first = fans.select(F.col("a").alias("key"), "a", F.explode(F.sequence(F.lit(0), F.col("fans") - 1)).alias("fan"), F.lit(False).alias("second"))
@@ -207,34 +250,72 @@ def compared(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     trips = first.unionByName(second).groupBy("key").agg(F.collect_list(F.struct("a", "fan", "second")).alias("trips"))
     trips = store(trips, "trips")
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @lean
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             rows = []
-            for key, text, trips in zip(batch.column(0).to_pylist(), _texts(batch), batch.column(2).to_pylist()):
-                packed = zlib.compress(text, 1)
-                rows += [{"a": t["a"], "fan": t["fan"], "second": t["second"], "key": key, "packed": packed} for t in trips]
+            for key, value, trips in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                blob = pack(value or b"")
+                rows += [{"a": t["a"], "fan": t["fan"], "second": t["second"], "key": key, "packed": blob} for t in trips]
                 if len(rows) >= 1000:
                     yield pa.RecordBatch.from_pylist(rows, _PACKED)
                     rows = []
             yield pa.RecordBatch.from_pylist(rows, _PACKED)
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, fan, own = None, None, None
-        for heads, texts in unpacked(batches):
-            rows = []
-            for (a_of, fan_of, second, key), names in zip(heads, shingles.sets(texts)):
-                if not second:
-                    a, fan, own = a_of, fan_of, names
-                elif (a, fan) == (a_of, fan_of):
-                    at = np.minimum(np.searchsorted(own, names), len(own) - 1)
-                    rows.append((a, key, int((own[at] == names).sum()), len(own), len(names)))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)], names=["a", "b", "overlap", "na", "nb"])
+    ready = _joined(rows, trips, "key").select("key", F.col("value").cast("binary"), "trips")
+    sent = ready.mapInArrow(packed, "a long, fan int, second boolean, key long, packed binary")
+    dealt = sent.repartition("a", "fan").sortWithinPartitions("a", "fan", "second")
+    return dealt.mapInArrow(lean(compare), found).distinct()
 
-    ready = _joined(docs, trips, "key").select("key", "text", "trips")
-    packed = ready.mapInArrow(pack, "a long, fan int, second boolean, key long, packed binary")
-    dealt = packed.repartition("a", "fan").sortWithinPartitions("a", "fan", "second")
-    return dealt.mapInArrow(compare, "a long, b long, overlap long, na long, nb long").distinct()
+
+def _bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, most, na, nb): the greatest overlap that two sets may have by their rarest shingles.
+
+    What both have up to the place where the first of the two lists ends, both lists hold; beyond it lies the rest of a set.
+    """
+    a = fan = own = size = None
+    for batch in batches:
+        rows = []
+        for a_of, fan_of, second, key, blob in zip(*(c.to_pylist() for c in batch.columns)):
+            n, *_ = np.frombuffer(blob, np.int64, 1).tolist()
+            names = np.frombuffer(blob, np.int64, offset=8)
+            if not second:
+                a, fan, own, size = a_of, fan_of, np.sort(names), n
+            elif (a, fan) == (a_of, fan_of):
+                at = np.minimum(np.searchsorted(own, names), len(own) - 1)
+                shared = int((own[at] == names).sum())
+                rows.append((a, key, min(shared + max(size - len(own), n - len(names)), size, n), size, n))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)], names=["a", "b", "most", "na", "nb"])
+
+
+def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, overlap, na, nb), counted on the whole texts."""
+    a = fan = own = None
+    for heads, texts in unpacked(batches):
+        rows = []
+        for (a_of, fan_of, second, key), names in zip(heads, shingles.sets(texts)):
+            if not second:
+                a, fan, own = a_of, fan_of, names
+            elif (a, fan) == (a_of, fan_of):
+                at = np.minimum(np.searchsorted(own, names), len(own) - 1)
+                rows.append((a, key, int((own[at] == names).sum()), len(own), len(names)))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)], names=["a", "b", "overlap", "na", "nb"])
+
+
+def compared(docs: DataFrame, prefixes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(a, b, overlap, na, nb) of each pair of nodes.
+
+    First the rarest shingles of the two are compared, which are few.  Where they leave a link possible, the whole texts are,
+    exactly; where they don't, `overlap` is -1 less the greatest overlap possible.
+    """
+    pairs = write_once(pairs.select("a", "b"), "pairs")
+    bounds = write_once(_met(prefixes, pairs, bytes, _bounds, "a long, b long, most long, na long, nb long"), "pair-bounds")
+    may = F.expr("100 * most >= 75 * (na + nb - most)")
+    texts = docs.withColumnRenamed("text", "value")
+    exact = _met(texts, bounds.where(may), lambda text: zlib.compress(text, 1), _overlaps, "a long, b long, overlap long, na long, nb long")
+    return exact.unionByName(bounds.where(~may).select("a", "b", (-1 - F.col("most")).alias("overlap"), "na", "nb"))
 
 
 def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[tuple], list[bytes]]]:
@@ -258,7 +339,7 @@ _PACKED = pa.schema([("a", pa.int64()), ("fan", pa.int32()), ("second", pa.bool_
 
 
 def linked(rows: DataFrame) -> DataFrame:
-    return rows.where("100 * overlap >= 75 * (na + nb - overlap)").select("a", "b")
+    return rows.where("overlap >= 0 AND 100 * overlap >= 75 * (na + nb - overlap)").select("a", "b")
 
 
 def first_pairs(lists: DataFrame) -> DataFrame:
@@ -296,7 +377,7 @@ def centre_pairs(lists: DataFrame, known: DataFrame, outside: bool) -> DataFrame
     top_part = lists.where("node = top").select("shingle", F.col("part_of").alias("top_part")).distinct()
     ranked = lists.join(top_part, "shingle", "left").where(F.lit(not outside) | F.coalesce(F.col("part_of") != F.col("top_part"), F.lit(True)))
     own = F.struct(
-        F.when(F.col("node") == F.col("top"), -1).otherwise(F.coalesce("with_top", F.lit(-1))).alias("like"), (-F.col("node")).alias("minus"), "n", "part_of"
+        F.when(F.col("node") == F.col("top"), -1).otherwise(F.greatest("with_top", F.lit(-1))).alias("like"), (-F.col("node")).alias("minus"), "n", "part_of"
     )
     centre = ranked.groupBy("shingle").agg(F.max(own).alias("c"))
     pairs = lists.join(centre, "shingle").select((-F.col("c.minus")).alias("a"), F.col("node").alias("b"), "part_of", F.col("c.part_of").alias("own_part"), "n", F.col("c.n").alias("n_own"))
@@ -314,7 +395,7 @@ def rest_pairs(lists: DataFrame) -> DataFrame:
     """(a, b, sure): pairs of open lists whose sets are not yet in one component, as far as sizes, positions and overlaps allow a link."""
     lists = lists.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     pairs = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(F.col("block"), o).alias("low"), F.greatest(F.col("block"), o).alias("high"))))
-    rows = lists.select("shingle", pairs.alias("x"), "block", "node", "n", "pos", "part_of", F.coalesce("with_top", F.lit(-1)).alias("with_top"), F.coalesce("n_top", F.lit(-1)).alias("n_top"))
+    rows = lists.select("shingle", pairs.alias("x"), "block", "node", "n", "pos", "part_of", F.coalesce("with_top", F.lit(-FAR)).alias("with_top"), F.coalesce("n_top", F.lit(-1)).alias("n_top"))
     rows = rows.select("shingle", "x.low", "x.high", "block", "node", "n", "pos", "part_of", "with_top", "n_top")
     dealt = rows.repartition("shingle", "low", "high").sortWithinPartitions("shingle", "low", "high", "n", "pos")
     return dealt.mapInArrow(_pair_up, "a long, b long, sure boolean")
@@ -396,7 +477,9 @@ def _fitting(rows: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> Iterator[p
     # Of a linked pair some list holds the first shingle that they share: from there on lies all that they share.
     ok = np.minimum(n[x] - pos[x], n[y] - pos[y]) >= need
     both = (with_top[x] >= 0) & (with_top[y] >= 0)
-    ok &= ~both | (np.minimum(with_top[x], with_top[y]) + np.minimum(n[x] - with_top[x], n[y] - with_top[y]) >= need)
+    # Overlaps with the list's smallest set lie between these two; they are equal where it was compared whole.
+    least, most = np.maximum(with_top, 0), np.where(with_top >= 0, with_top, -1 - with_top)
+    ok &= np.minimum(most[x], most[y]) + np.minimum(n[x] - least[x], n[y] - least[y]) >= need
     sure = both & (with_top[x] + with_top[y] - n_top[x] >= need)
     x, y, sure = x[ok], y[ok], sure[ok]
     if not len(x):
@@ -408,25 +491,32 @@ def _fitting(rows: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> Iterator[p
     yield pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new]), pa.array(sure[new])], names=["a", "b", "sure"])
 
 
-def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(`key`, `n_shingles`, `component_id`): each document's set size and the smallest key that links reach from it.
+def with_rows(docs: DataFrame, key: str) -> tuple[DataFrame, bool]:
+    """`docs` with ROW, a number of its own for each row, and whether that is just the key.
 
-    A null or empty text, or one of separators only, has no shingles and is its own component.  A null key counts as
-    larger than any other, and is null again in the result.  Equal rows and equal sets link.  Rows that repeat a key
-    with other texts share its component, and the text of the smallest set name stands for the key.  Other columns are
-    not read; an empty table gives an empty one.
+    Where keys are null or repeat, a copy with numbers is written, so that they stay the same however often it is read.
     """
-    source = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("key"), F.col(text).alias("text"))
-    cells = rarity(source)
-    found = write_once(documents(source, cells), "jaccard-sets")
+    keys = docs.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    odd = keys.agg(F.max("n").alias("most"), F.count_if(F.col("k").isNull()).alias("none")).first()
+    if (odd["most"] or 1) == 1 and not odd["none"]:
+        return docs.withColumn(ROW, F.col(key).cast("long")), True
+    return write_once(docs.withColumn(ROW, F.monotonically_increasing_id()), "jaccard-rows"), False
+
+
+def components_of(source: DataFrame) -> DataFrame:
+    """(key, n, component) of texts under unique keys: the size of each set and the smallest key that links reach from it."""
+    context = source.sparkSession.sparkContext
+    shared = context.broadcast(rarity(source))
+    found = write_once(documents(source, shared), "jaccard-sets")
     some = found.where("n > 0")
     # One node for each set; counted on the map side, as a third of all rows may be copies of one text.
-    classes = write_once(some.groupBy("a", "b").agg(F.min("key").alias("node")), "jaccard-classes")
-    chosen = classes.groupBy("node").agg(F.min(F.struct("a", "b")).alias("s")).select(F.col("node").alias("key"), "s.a", "s.b")
-    nodes = _joined(some, store(chosen, "jaccard-nodes"), ["key", "a", "b"])
+    classes = store(some.groupBy("a", "b").agg(F.min("key").alias("node")), "jaccard-classes")
+    nodes = _joined(some, Stored(classes.df.select(F.col("node").alias("key")), classes.rows, classes.bytes), "key", "left_semi")
     total = nodes.agg(F.sum(F.size("prefix"))).first()[0] or 0
-    lists = write_once(shared_lists(nodes, cells, total), "jaccard-lists")
-    known = write_once(compared(source, first_pairs(lists)), "jaccard-known")
+    lists = write_once(shared_lists(nodes, shared, total), "jaccard-lists")
+    shared.destroy()
+    prefixes = some.select("key", F.struct("n", "prefix").alias("_own")).mapInArrow(_as_bytes, "key long, value binary")
+    known = write_once(compared(source, prefixes, first_pairs(lists)), "jaccard-known")
     labels = store(components(linked(known)), "jaccard-labels")
     every = known
     for outside in (False, True):
@@ -434,7 +524,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         centres = write_once(centre_pairs(still, every, outside), "jaccard-centres")
         if not centres.limit(1).count():
             break
-        every = write_once(every.union(compared(source, centres)), "jaccard-known")
+        every = write_once(every.union(compared(source, prefixes, centres)), "jaccard-known")
         labels = store(components(linked(every)), "jaccard-labels")
     more = rest_pairs(open_lists(lists, labels, known)).groupBy("a", "b").agg(F.max("sure").alias("sure"))
     more = write_once(unknown(more, every), "jaccard-rest")
@@ -442,10 +532,56 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         links = linked(every).union(more.where("sure").select("a", "b"))
         unsure = more.where("NOT sure").select("a", "b")
         if unsure.limit(1).count():
-            links = links.union(linked(compared(source, unsure)))
+            links = links.union(linked(compared(source, prefixes, unsure)))
         labels = store(components(links), "jaccard-labels")
-    final = classes.join(labels.df, "node", "left").select("a", "b", F.coalesce("label", "node").alias("component"))
+    final = classes.df.join(labels.df, "node", "left").select("a", "b", F.coalesce("label", "node").alias("component"))
     final = found.select("key", "a", "b", "n").join(final, ["a", "b"], "left")
-    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("key"))
-    real = lambda c: F.when(c != NO_KEY, c)
-    return final.select(real(F.col("key")).alias(key), F.col("n").alias("n_shingles"), real(component).alias("component_id"))
+    return final.select("key", "n", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("key")).alias("component"))
+
+
+def _as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The size and the rarest shingles of each set as one value."""
+    for batch in batches:
+        own = batch.column(1)
+        sizes, prefixes = (own.field(k) for k in range(2))
+        values = [n.as_py().to_bytes(8, "little") + np.asarray(p.values, np.int64).tobytes() for n, p in zip(sizes, prefixes)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.binary())], names=["key", "value"])
+
+
+def row_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, bool]:
+    """`docs` with a number for each row, and for each number its set's size, its component, and the least key therein.
+
+    The last says whether the number is the key, and so the component its least key.
+    """
+    rows, plain = with_rows(docs, key)
+    found = components_of(rows.select(F.col(ROW).alias("key"), F.col(text).alias("text"))).withColumnRenamed("key", ROW)
+    if plain:
+        return rows, found.withColumn("least", F.col("component")), True
+    found = write_once(found.join(rows.select(ROW, F.col(key).cast("long").alias("_key")), ROW), "jaccard-components")
+    least = found.groupBy("component").agg(F.min("_key").alias("least"))
+    return rows, found.join(least, "component"), False
+
+
+def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(`key`, `n_shingles`, `component_id`): each document's set size and the smallest key that links reach from it.
+
+    A null or empty text, or one of separators only, has no shingles and is its own component.  Rows are told apart even
+    where they have no key or one that repeats: each has a row in the result, links with its own text only, and a component
+    without any key has a null `component_id`.  Equal rows and equal sets link.  Other columns are not read; an empty table
+    gives an empty one.
+    """
+    _, found, plain = row_components(docs.select(key, text), key, text)
+    return found.select(F.col(ROW if plain else "_key").alias(key), F.col("n").alias("n_shingles"), F.col("least").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """`docs` without rows that link to one with a smaller key (rows without key last, then as they come), all columns kept."""
+    rows, found, plain = row_components(docs, key, text)
+    if plain:
+        others = found.where(F.col(ROW) != F.col("component"))
+    else:
+        first = F.min(F.struct(F.col("_key").isNull().alias("none"), F.col("_key").alias("key"), F.col(ROW).alias("row")))
+        firsts = found.groupBy("component").agg(first.alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1")
+        others = found.join(firsts.select("component", F.col("first.row").alias("_kept")), "component").where(F.col(ROW) != F.col("_kept"))
+    others = store(others.select(ROW), "near-copies")
+    return _joined(rows, others, ROW, "left_anti").drop(ROW)

@@ -208,6 +208,35 @@ def test_jaccard_groups(rows, monkeypatch, part, usual):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == components(docs)
 
 
+@pytest.mark.parametrize("ids", ["none", "repeated", "mixed"])
+def test_jaccard_tells_rows_apart(rows, ids):
+    """Near copies without an id, or with one that other texts have too: as if each row had an id of its own."""
+    docs = near_copies(8)
+    name = {"none": lambda i: None, "repeated": lambda i: i % 7, "mixed": lambda i: [None, i % 5, i][i % 3]}[ids]
+    real = components(docs)
+    least = {}
+    for i, (_, c) in real.items():
+        if name(i) is not None:
+            least[c] = min(least.get(c, name(i)), name(i))
+    want = sorted(((name(i), n, least.get(c)) for i, (n, c) in real.items()), key=repr)
+    frame = rows("doc_id long, text string, extra long", [(name(i), t, i) for i, t in docs]).repartition(4)
+    assert sorted((tuple(r) for r in jaccard.join(frame).collect()), key=repr) == want
+    kept = jaccard.one_of_each(frame)
+    assert kept.columns == frame.columns
+    groups = {i: c for i, (_, c) in real.items()}
+    left = [(r.doc_id, r.extra) for r in kept.collect()]
+    assert sorted(groups[e] for _, e in left) == sorted(set(groups.values()))
+    assert all(i == least.get(groups[e]) for i, e in left)
+
+
+def test_postings_pack(monkeypatch):
+    rnd = np.random.default_rng(3)
+    columns = [rnd.integers(0, 1 << 63, 50).astype(np.uint64) * np.uint64(2), *(rnd.integers(0, 99, 50).astype(k) for k in (np.int32, np.int64, np.int32, np.int32))]
+    got = jaccard._unpacked(jaccard._packed(columns))
+    order = np.argsort(columns[0], kind="stable")
+    assert all((g == c[order]).all() and g.dtype == c.dtype for g, c in zip(got, columns))
+
+
 def test_shingle_sets():
     a, b, c, d = shingles.sets([b"A b\x0bC d e f", b"a  b c\td e F", b"a b c", b"a b d"])
     assert (a == b).all() and len(a) == 2 and len(c) == len(d) == 1 and c[0] != d[0]
