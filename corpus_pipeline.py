@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm import bpe, jaccard, linededup, mixing, toxicity
 from ledgerloom.llm.common import table
 from ledgerloom.llm.queries import tokenizer_json
-from ledgerloom.session import store, write_once
+from ledgerloom.session import write_once
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -31,11 +31,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id."""
-    found = jaccard.join(docs)
-    others = store(found.where("component_id <> doc_id").select("doc_id").distinct(), "near-copies")
-    side = F.broadcast(others.df) if others.fits_broadcast else others.df
-    return docs.select(*COLUMNS).join(side, "doc_id", "left_anti").select(*COLUMNS)
+    """Of each group of linked documents the one with the smallest id; rows are told apart, with or without an id."""
+    return jaccard.one_of_each(docs.select(*COLUMNS))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
