@@ -143,7 +143,7 @@ def documents(docs: DataFrame, shared: Broadcast) -> DataFrame:
     return docs.mapInArrow(name, "key long, a long, b long, n long, prefix array<long>")
 
 
-_LISTED = pa.schema([("shingle", pa.int64()), ("part", pa.int32()), ("node", pa.int64()), ("n", pa.int64()), ("pos", pa.int32()), ("head", pa.int64())])
+_LISTED = pa.schema([("shingle", pa.int64()), ("part", pa.int32()), ("node", pa.int64()), ("n", pa.int64()), ("pos", pa.int32()), ("head", pa.int64()), ("n_head", pa.int64())])
 
 
 def _packed(columns: list[np.ndarray]) -> bytes:
@@ -167,7 +167,7 @@ def _unpacked(blob: bytes) -> list[np.ndarray]:
 
 
 def shared_lists(nodes: DataFrame, shared: Broadcast, total: int) -> DataFrame:
-    """(shingle, part, node, n, pos, head) of all index lists with several sets; head is the smallest node of its part.
+    """(shingle, part, node, n, pos, head, n_head) of all index lists with several sets; head is the smallest node of its part.
 
     A list of a shingle that may be frequent is dealt out in parts of about PART sets.  Postings travel packed, those of
     DEALT_ROWS at a time to each bucket.
@@ -216,18 +216,45 @@ def shared_lists(nodes: DataFrame, shared: Broadcast, total: int) -> DataFrame:
         name = name.view(np.int64)
         order = np.lexsort((node, part, name))
         name, part, node, n, pos = (x[order] for x in (name, part, node, n, pos))
-        new = np.concatenate([[True], (name[1:] != name[:-1]) | (part[1:] != part[:-1])])
-        starts = np.flatnonzero(new)
-        lengths = np.diff(starts, append=len(name))
-        head = np.repeat(node[starts], lengths)
-        # A part that holds one set counts if its list may have other parts.
-        keep = np.repeat(lengths > 1, lengths) | (_parts(name, shared.value) > 1)
-        columns = [x[keep] for x in (name, part, node, n.astype(np.int64), pos, head)]
+        n = n.astype(np.int64)
+        keep = _matched(name, part, n, pos) | (_parts(name, shared.value) > 1)
+        name, part, node, n, pos = (x[keep] for x in (name, part, node, n, pos))
+        starts, lengths = _runs(name, part)
+        head, n_head = np.repeat(node[starts], lengths), np.repeat(n[starts], lengths)
+        columns = [name, part, node, n, pos, head, n_head]
         for i in range(0, len(columns[0]), 200_000):
             yield pa.RecordBatch.from_arrays([pa.array(x[i : i + 200_000]) for x in columns], schema=_LISTED)
 
     rows = nodes.select("key", "n", "prefix").mapInArrow(deal, "bucket long, postings binary")
-    return rows.repartition(tasks, "bucket").mapInArrow(list_up, "shingle long, part int, node long, n long, pos int, head long")
+    return rows.repartition(tasks, "bucket").mapInArrow(list_up, "shingle long, part int, node long, n long, pos int, head long, n_head long")
+
+
+def _runs(name: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each part of a list begins among sorted postings, and how many it has."""
+    new = np.ones(len(name), bool)
+    new[1:] = (name[1:] != name[:-1]) | (part[1:] != part[:-1])
+    starts = np.flatnonzero(new)
+    return starts, np.diff(starts, append=len(name))
+
+
+def _matched(name: np.ndarray, part: np.ndarray, n: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """Postings that may link with another one of their list, whose shingle would be the first that the two sets share.
+
+    Sizes and positions tell: from the first shared shingle on lies all that two sets share, and of linked sets some list
+    holds that shingle.  Looked at up to BLOCK places apart; in longer lists all postings count as matched.
+    """
+    starts, lengths = _runs(name, part)
+    left = np.repeat(starts + lengths, lengths) - np.arange(len(name)) - 1
+    matched = np.repeat(lengths > BLOCK, lengths)
+    here = np.flatnonzero((left > 0) & ~matched)
+    step = 1
+    while len(here):
+        there = here + step
+        fit = np.minimum(n[here] - pos[here], n[there] - pos[there]) >= required(n[here], n[there])
+        matched[here[fit]] = matched[there[fit]] = True
+        step += 1
+        here = here[left[here] >= step]
+    return matched
 
 
 def _parts(name: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -277,10 +304,9 @@ def _bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for a_of, fan_of, second, key, blob in zip(*(c.to_pylist() for c in batch.columns)):
-            n, *_ = np.frombuffer(blob, np.int64, 1).tolist()
-            names = np.frombuffer(blob, np.int64, offset=8)
+            n, names = _own_names(blob)
             if not second:
-                a, fan, own, size = a_of, fan_of, np.sort(names), n
+                a, fan, own, size = a_of, fan_of, names, n
             elif (a, fan) == (a_of, fan_of):
                 at = np.minimum(np.searchsorted(own, names), len(own) - 1)
                 shared = int((own[at] == names).sum())
@@ -344,8 +370,8 @@ def linked(rows: DataFrame) -> DataFrame:
 
 def first_pairs(lists: DataFrame) -> DataFrame:
     """(a, b): the smallest set of each part with the other sets of its part, and with the smallest of the whole list."""
-    sizes = F.col("head") != F.col("node")
-    own = lists.where(sizes).select(F.col("head").alias("a"), F.col("node").alias("b"))
+    fit = 4 * F.least("n", "n_head") >= 3 * F.greatest("n", "n_head")
+    own = lists.where((F.col("head") != F.col("node")) & fit).select(F.col("head").alias("a"), F.col("node").alias("b"))
     heads = lists.groupBy("shingle", "part").agg(F.min("head").alias("head"))
     top = heads.groupBy("shingle").agg(F.min("head").alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
     across = heads.join(top, "shingle").where("head != top").select(F.col("top").alias("a"), F.col("head").alias("b"))
@@ -540,14 +566,25 @@ def components_of(source: DataFrame) -> DataFrame:
 
 
 def _as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The size and the rarest shingles of each set as one value."""
+    """The size and the rarest shingles of each set as one value; of a name three bytes do, as chance matches only add to a bound."""
     for batch in batches:
         own = batch.column(1)
-        sizes, prefixes = (own.field(k) for k in range(2))
-        values = [n.as_py().to_bytes(8, "little") + np.asarray(p.values, np.int64).tobytes() for n, p in zip(sizes, prefixes)]
+        sizes, ends = np.asarray(own.field(0)), np.asarray(own.field(1).offsets)
+        names = np.asarray(own.field(1).values).view(np.uint64) & np.uint64(0xFFFFFF)
+        values = []
+        for n, begin, end in zip(sizes.tolist(), ends[:-1].tolist(), ends[1:].tolist()):
+            steps = np.diff(np.sort(names[begin:end]), prepend=np.uint64(0)).astype(np.uint32)
+            planes = steps.view(np.uint8).reshape(-1, 4).T[:3].tobytes()
+            values.append(n.to_bytes(8, "little") + zlib.compress(planes, 1))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.binary())], names=["key", "value"])
 
 
+def _own_names(value: bytes) -> tuple[int, np.ndarray]:
+    """The size of a set, and the sorted ends of the names of its rarest shingles."""
+    planes = np.frombuffer(zlib.decompress(value[8:]), np.uint8).reshape(3, -1).astype(np.int64)
+    return int.from_bytes(value[:8], "little"), np.cumsum(planes[0] + (planes[1] << 8) + (planes[2] << 16))
+
+
 def row_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, bool]:
     """`docs` with a number for each row, and for each number its set's size, its component, and the least key therein.
 
