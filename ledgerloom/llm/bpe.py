@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import pieces
+from ledgerloom.llm.common import lean, pieces
 
 LONG_WORD = 200
 CACHED_WORDS = 300_000
@@ -308,6 +308,7 @@ def round_trip(
         ]
     )
 
+    @lean
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = rank_array(shared.value)
         for batch in pieces(batches):
