@@ -29,11 +29,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.session import BROADCAST_ROWS
+from ledgerloom.operators.numbering import number_rows
+from ledgerloom.session import BROADCAST_ROWS, write_once
 
-#: The list of sources and their weights is metadata that the driver holds; beyond this many it refuses.
+#: So many sources are scheduled each for itself on the driver, beyond that the smallest together.
 MAX_SOURCES = 512
 BLOCK_ROWS = 64
+#: The driver walks over so many blocks at most; blocks of larger tables have more rows.
+BLOCKS = 1_000_000
 #: Rows that one window of the hashed order holds on average.
 BUCKET_ROWS = 10_000
 TEMPERATURE = 0.7
@@ -133,40 +136,56 @@ def mix(
     weights: dict[str, float] | None = None,
     key: str = "doc_id",
     source: str = "source",
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
+    most: int = MAX_SOURCES,
 ) -> DataFrame:
     """Every row of `docs` with its place in the mix: `mix_block` (of its source, from 0), `mix_slot` and `mix_position`.
 
     Sorting by `mix_position` gives the mix.  Without `weights`, a source weighs its row count to the power TEMPERATURE.
-    A source that `weights` doesn't name weighs as little as the least of them; weights must be positive.  Null is a
-    source like any other.  Rows with equal keys are told apart by a hash of all their columns; rows equal in all
+    A source that `weights` doesn't name weighs as little as the least of them; weights must be positive.  Of more than
+    `most` sources the largest are scheduled each for itself, and all others as one, the tail, with the sum of their
+    weights; `mix_block` then counts blocks of the tail, in which each of its sources is spread evenly, in proportion to its
+    rows.  A block has `block_rows` rows, if none are given BLOCK_ROWS or so many more that there are at most BLOCKS.
+
+    Null is a source like any other.  Rows with equal keys are told apart by a hash of all their columns; rows equal in all
     columns share that and take neighbouring places in either order.  Texts are not read, and an empty table gives an
     empty one.  Columns that `docs` has under the added names are replaced.
     """
     spark = docs.sparkSession
     docs = docs.drop(*ADDED)
-    sizes = docs.groupBy(source).count().orderBy(source).limit(MAX_SOURCES + 1).collect()
-    if len(sizes) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources; group them first")
-    rows, total = [r["count"] for r in sizes], sum(r["count"] for r in sizes)
+    kind = docs.schema[source].dataType
+    if weights is not None and (not weights or min(weights.values()) <= 0):
+        raise ValueError("weights must be positive")
+    counts = docs.groupBy(F.col(source).alias("_mix_source")).agg(F.count(F.lit(1)).alias("_mix_size"))
     if weights is None:
-        heavy = [n**TEMPERATURE for n in rows]
+        counts = counts.withColumn("_mix_weight", F.pow("_mix_size", F.lit(TEMPERATURE)))
     else:
-        if not weights or min(weights.values()) <= 0:
-            raise ValueError("weights must be positive")
-        heavy = [float(weights.get(r[source], min(weights.values()))) for r in sizes]
+        given = T.StructType([T.StructField("_mix_name", kind), T.StructField("_mix_weight", T.DoubleType())])
+        named = spark.createDataFrame([(k, float(v)) for k, v in weights.items()], given)
+        counts = counts.join(named, F.col("_mix_source").eqNullSafe(F.col("_mix_name")), "left").drop("_mix_name")
+        counts = counts.fillna(float(min(weights.values())), ["_mix_weight"])
+    counts = write_once(counts, "mix-sources")
+    sizes = counts.orderBy(F.desc("_mix_size"), "_mix_source").limit(most + 1).collect()
+    sizes = sizes if len(sizes) <= most else sizes[: most - 1]
+    whole = counts.agg(F.sum("_mix_size"), F.sum("_mix_weight"), F.count(F.lit(1))).first()
+    total, sources = int(whole[0] or 0), int(whole[2])
+    rows, heavy = [int(r["_mix_size"]) for r in sizes], [float(r["_mix_weight"]) for r in sizes]
+    if sources > len(sizes):
+        rows.append(total - sum(rows))
+        heavy.append(max(float(whole[1]) - sum(heavy), min(heavy, default=1.0) * 1e-6))
+    block_rows = block_rows or max(BLOCK_ROWS, -(-total // BLOCKS))
     slots = places(schedule([-(-n // block_rows) for n in rows], heavy))
     table = spark.createDataFrame(
-        [(r[source], n) for n, r in enumerate(sizes)],
-        T.StructType([T.StructField("_mix_source", docs.schema[source].dataType), T.StructField("_mix_n", T.LongType())]),
+        [(r["_mix_source"], n) for n, r in enumerate(sizes)],
+        T.StructType([T.StructField("_mix_source", kind), T.StructField("_mix_n", T.LongType())]),
     )
 
     buckets = max(1, -(-total // BUCKET_ROWS))
     order = F.xxhash64(F.col(key).cast("string"), F.lit(17))
     placed = docs.withColumn("_mix_hash", order).withColumn("_mix_bucket", F.pmod("_mix_hash", F.lit(buckets)))
-    counts = placed.groupBy(source, "_mix_bucket").count()
+    held = placed.groupBy(source, "_mix_bucket").count()
     before = F.sum("count").over(Window.partitionBy(source).orderBy("_mix_bucket").rowsBetween(Window.unboundedPreceding, -1))
-    before = counts.select(
+    before = held.select(
         F.col(source).alias("_mix_of"), F.col("_mix_bucket").alias("_mix_in"), F.coalesce(before, F.lit(0)).alias("_mix_before")
     )
     comparable = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
@@ -174,10 +193,21 @@ def mix(
     ranked = placed.withColumn("_mix_rank", F.row_number().over(inside) - 1)
     # One row for each source and bucket, a share 1 / BUCKET_ROWS of the rows: joined by shuffle unless Spark finds it small.
     ranked = ranked.join(before, ranked[source].eqNullSafe(before["_mix_of"]) & (F.col("_mix_bucket") == F.col("_mix_in")))
-    rank = F.col("_mix_before") + F.col("_mix_rank")
-    ranked = ranked.withColumn("_mix_rank", rank).withColumn("mix_block", F.floor(rank / block_rows).cast("long"))
-    # At most MAX_SOURCES rows.
-    mixed = ranked.join(F.broadcast(table), ranked[source].eqNullSafe(table["_mix_source"]))
+    ranked = ranked.withColumn("_mix_rank", F.col("_mix_before") + F.col("_mix_rank"))
+    # At most `most` rows.
+    known = ranked.join(F.broadcast(table), ranked[source].eqNullSafe(table["_mix_source"]), "left").drop("_mix_source")
+    columns = [*docs.columns, "_mix_n", "_mix_rank"]
+    mixed = known.where(F.col("_mix_n").isNotNull()).select(*columns)
+    if sources > len(sizes):
+        tail = known.where(F.col("_mix_n").isNull()).drop("_mix_n", "_mix_before")
+        side = counts.select("_mix_source", "_mix_size")
+        tail = tail.join(side, tail[source].eqNullSafe(side["_mix_source"]))
+        # Each source begins at a place of its own, so that sources of equal size don't take turns all at once.
+        start = F.pmod(F.xxhash64(F.col(source).cast("string"), F.lit(23)), F.lit(1 << 20)) / float(1 << 20)
+        tail = tail.withColumn("_mix_part", (F.col("_mix_rank") + start) / F.col("_mix_size"))
+        tail = number_rows(tail.drop("_mix_rank"), ["_mix_part", source, "_mix_hash"], "_mix_rank", 0).df
+        mixed = mixed.unionByName(tail.withColumn("_mix_n", F.lit(len(sizes)).cast("long")).select(*columns))
+    mixed = mixed.withColumn("mix_block", F.expr(f"_mix_rank div {block_rows}"))
     # One row of three numbers for each block: sent to the rows while it is small, else joined by shuffle.
     small = slots.num_rows <= BROADCAST_ROWS
     slots = spark.createDataFrame(slots).withColumnRenamed("_mix_n", "_mix_m")

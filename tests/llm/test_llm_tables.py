@@ -205,3 +205,42 @@ def test_the_order_of_the_mix_outlasts_its_files(spark):
             spark.conf.set(k, v)
     names = [f"part-{n:05d}-u-c{c:03d}.snappy.parquet" for n in (9, 99_999, 100_000) for c in (0, 1, 1000)]
     assert sorted(sorted(names), key=corpus_pipeline._turn) == names
+
+
+@pytest.mark.parametrize("bucket", [10_000, 40])
+def test_every_row_has_a_place_whatever_the_buckets(rows, monkeypatch, bucket):
+    """Several windows for each source: blocks are full, and no row is lost."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", bucket)
+    sizes = {"a": 700, "b": 300, "c": 64, None: 5}
+    docs = rows("doc_id long, source string", [(1000 * n + k, s) for n, (s, size) in enumerate(sizes.items()) for k in range(size)])
+    found = mixing.mix(docs.repartition(3)).collect()
+    assert len(found) == sum(sizes.values()) == len({r.mix_position for r in found})
+    for s, size in sizes.items():
+        blocks = sorted(r.mix_block for r in found if r.source == s)
+        assert blocks == [k // 64 for k in range(size)]
+    with_places = mixing.mix(docs, block_rows=10)
+    assert with_places.select("mix_position").distinct().count() == sum(sizes.values())
+
+
+@pytest.mark.parametrize("weights", [None, {"s0": 5.0, "s1": 3.0, "s77": 0.5}])
+def test_tail_of_sources(rows, weights):
+    """More sources than are scheduled: each row has one place, and a small source is spread evenly over the tail."""
+    rnd = random.Random(4)
+    sizes = {f"s{n}": (900 if n < 3 else rnd.randint(1, 12)) for n in range(300)} | {None: 7}
+    docs = rows("doc_id long, source string, extra int", [(10_000 * n + k, s, n) for n, (s, size) in enumerate(sizes.items()) for k in range(size)])
+    found = mixing.mix(docs.repartition(4), weights, most=4, block_rows=8).collect()
+    assert sorted((r.doc_id, r.source) for r in found) == sorted((r.doc_id, r.source) for r in docs.collect())
+    assert len({r.mix_position for r in found}) == len(found)
+    tail = sorted((r for r in found if r.source not in ("s0", "s1", "s2")), key=lambda r: r.mix_position)
+    assert [r.mix_block for r in tail] == [k // 8 for k in range(len(tail))]
+    for s in ("s10", "s77", None):
+        places = [k for k, r in enumerate(tail) if r.source == s]
+        for nth, place in enumerate(places):
+            assert -0.2 < place * len(places) / len(tail) - nth < 1.2  # of its rows so far, less than one off
+
+
+def test_blocks_grow_with_the_table(rows, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCKS", 5)
+    docs = rows("doc_id long, source string", [(k, "ab"[k % 2]) for k in range(1000)])
+    found = mixing.mix(docs).collect()
+    assert len({r.mix_position for r in found}) == 1000 and max(r.mix_slot for r in found) < 8
