@@ -221,3 +221,19 @@ def test_append_with_codes_and_date_parts(tables, rows):
     parts = with_date_parts(tables["banned_list_record"], "date").select("date_parts.*").collect()
     assert {(r["year"], r["precision"], str(r["first"]), str(r["last"])) for r in parts} == {
         (1770, "year", "1770-01-01", "1770-12-31"), (None, None, "None", "None")}
+
+
+def test_members_name_their_firm(spark):
+    """At a size where some firms have no code: no such link is kept, each is counted once, and the declared rules hold."""
+    from ledgerloom.catalog.job import _tables
+    from ledgerloom.catalog.registry import Tables
+    from ledgerloom.operators.audit import audit_table
+    from ledgerloom.plans import schemas
+    from ledgerloom.plans.agents import resolve_agents
+
+    found = resolve_agents(*_tables(Tables(spark, "/root/testdata/sf0.01")))
+    members = found.tables["is_member_of"]
+    broken = audit_table("is_member_of", members, schemas.keys("is_member_of"), schemas.required("is_member_of"), schemas.widths("is_member_of"))
+    assert members.count() > 100 and not broken.filter("n > 0 and rule <> 'width'").count()
+    lost = {r["reason"]: r["n"] for r in found.rejects["members"].collect()}
+    assert lost["no corporate_entity"] > 0
