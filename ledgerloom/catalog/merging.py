@@ -1,15 +1,16 @@
 """Queries on insert policies, merges and de-duplication."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
-from ledgerloom.catalog.registry import Tables, query
-from ledgerloom.operators import merge
+from ledgerloom.catalog.registry import Tables, query, scratch
+from ledgerloom.operators import increments, merge
 from ledgerloom.operators.merge import Register
+from ledgerloom.streaming import arrivals
 
 
-@query(
-    "insert_if_absent",
-    """
+_INSERTED = """
     WITH p AS (SELECT p_partkey, CASE WHEN p_partkey % 50 <> 0 THEN p_brand END AS brand, p_size::BIGINT AS size FROM part),
     t AS (SELECT brand, size, min(p_partkey) AS src FROM p WHERE p_partkey % 2 = 0 AND brand IS NOT NULL GROUP BY ALL),
     b AS (SELECT * FROM p WHERE p_partkey % 2 = 1 OR p_partkey % 3 = 0 OR brand IS NULL)
@@ -18,17 +19,33 @@ from ledgerloom.operators.merge import Register
     SELECT brand, size, min(p_partkey) FROM b WHERE brand IS NOT NULL
       AND NOT EXISTS (SELECT 1 FROM t WHERE t.brand = b.brand AND t.size = b.size) GROUP BY brand, size
     UNION ALL SELECT brand, size, p_partkey FROM b WHERE brand IS NULL
-    """,
-)
-def insert_if_absent(spark, d):
-    """Every part is in the table, in the batch or in both."""
+    """
+
+
+def _parts(spark, d):
+    """A table and a batch; every part is in the table, in the batch or in both."""
     p = Tables(spark, d)("part", "p_partkey", "p_brand", "p_size").select(
         F.when(F.col("p_partkey") % 50 != 0, F.col("p_brand")).alias("brand"),
         F.col("p_size").cast("long").alias("size"),
         F.col("p_partkey").alias("src"),
     )
     table = merge.first_by(p.filter("src % 2 = 0 and brand is not null"), ["brand", "size"], ["src"])
-    return merge.insert_if_absent(table, p.filter("src % 2 = 1 or src % 3 = 0 or brand is null"), ["brand", "size"], ["src"])
+    return table, p.filter("src % 2 = 1 or src % 3 = 0 or brand is null")
+
+
+@query("insert_if_absent", _INSERTED)
+def insert_if_absent(spark, d):
+    return merge.insert_if_absent(*_parts(spark, d), ["brand", "size"], ["src"])
+
+
+@query("insert_arriving", _INSERTED)
+def insert_arriving(spark, d):
+    """The batch arrives in three parts, in no order, and one of them twice."""
+    table, batch = _parts(spark, d)
+    target = arrivals.start_arrivals(table, batch.schema, scratch(spark, "arrivals"), ["brand", "size"], ["src"])
+    for part in (2, 0, 1, 2):
+        arrivals.insert_batch(target, _in_part(part)(batch), part)
+    return arrivals.with_arrivals(spark, target)
 
 
 @query(
@@ -75,9 +92,7 @@ def upsert_subset(spark, d):
     return merge.upsert(table, once.unionByName(again).unionByName(keyless), "code", ["title", "volumes"])
 
 
-@query(
-    "precedence_merge",
-    """
+_MERGED = """
     WITH r AS (
       SELECT 0 AS prio, 0::BIGINT AS r, c_custkey AS code, c_name AS name, c_mktsegment AS gender,
              CASE WHEN c_custkey % 3 = 0 THEN 'seg ' || c_mktsegment END AS notes, '' AS label FROM customer WHERE c_custkey % 5 <> 0
@@ -95,9 +110,10 @@ def upsert_subset(spark, d):
            CASE WHEN max(cut) = max(n) AND max(n) > 1 THEN NULL
                 ELSE string_agg(CASE WHEN i = 1 THEN notes ELSE label || notes END, '' ORDER BY i) FILTER (WHERE i > cut) END AS notes
     FROM e GROUP BY code
-    """,
-)
-def precedence_merge(spark, d):
+    """
+
+
+def _registers(spark, d):
     """Four registers, three of them with many rows per code, equal ones too, and with NULL notes in between.
 
     The first register lacks every fifth customer, so that some codes are known from later registers only.
@@ -128,13 +144,32 @@ def precedence_merge(spark, d):
         F.when(F.col("event_type") != "error", F.col("event_type")).alias("notes"),
         "event_id",
     )
-    registers = [
+    return [
         Register(clients),
         Register(dealers, " Sales notes: ", ["o_orderkey"]),
         Register(inspectors, " Stamp notes: "),
         Register(users, " Event notes: ", ["event_id"]),
     ]
-    return merge.precedence_merge(registers, "code", ["name", "gender"])
+
+
+@query("precedence_merge", _MERGED)
+def precedence_merge(spark, d):
+    return merge.precedence_merge(_registers(spark, d), "code", ["name", "gender"])
+
+
+def _in_part(part):
+    """Whether a row belongs to one of three parts, by its values."""
+    return lambda df: df.filter(F.pmod(F.xxhash64(*df.columns), F.lit(3)) == part)
+
+
+@query("merge_increments", _MERGED)
+def merge_increments(spark, d):
+    """The same registers, whose rows come in three increments; the second one comes last, and the third twice."""
+    folder, registers = scratch(spark, "registers"), _registers(spark, d)
+    for part in (0, 2, 2, 1):
+        own = [replace(r, df=_in_part(part)(r.df)) for r in registers]
+        increments.merge_increment(spark, folder, own, "code", ["name", "gender"], part)
+    return increments.merged_so_far(spark, folder)
 
 
 @query(

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerloom.session import shared_folder
 from ledgerloom.sources.tables import scan
 
 
@@ -35,3 +37,8 @@ class Tables:
 
     def __call__(self, name: str, *columns: str) -> DataFrame:
         return scan(self.spark, self.folder, name, columns=list(columns) or None)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder for a query's published tables, in the shared one."""
+    return f"{shared_folder(spark)}/ledgerloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"

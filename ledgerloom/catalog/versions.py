@@ -1,20 +1,13 @@
 """Queries on published versions, updates by file, lasting codes and checked writes."""
 
-import uuid
-
 from pyspark.sql import functions as F
 
-from ledgerloom.catalog.registry import Tables, query
+from ledgerloom.catalog.registry import Tables, query, scratch
 from ledgerloom.operators.dictionary import lasting_codes
-from ledgerloom.session import shared_folder
 from ledgerloom.sources.checked import Rules, checked_write
 from ledgerloom.sources.snapshots import open_snapshot, publish_snapshot, update_files, upsert_files
 
 
-def _folder(spark, name: str) -> str:
-    return f"{shared_folder(spark)}/ledgerloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-
-
 @query(
     "published_versions",
     """
@@ -30,7 +23,7 @@ def published_versions(spark, d):
     t = Tables(spark, d)
     orders = t("orders", "o_orderkey", "o_orderstatus").withColumnRenamed("o_orderkey", "key")
     customers = t("customer", "c_custkey").withColumnRenamed("c_custkey", "key")
-    folder = _folder(spark, "versions")
+    folder = scratch(spark, "versions")
     publish_snapshot(spark, {"orders": orders, "customers": customers}, folder, keys={"orders": "key"})
     late = {"orders": orders.filter("o_orderstatus = 'F'"), "nobody": customers.filter("key < 0")}
     publish_snapshot(spark, late, folder, keys={"orders": "key"}, keep_others=True)
@@ -75,7 +68,7 @@ def upsert_by_file(spark, d):
         F.concat(F.lit("new "), "o_orderpriority").alias("priority"),
         key.alias("_row"),
     )
-    folder = _folder(spark, "by-file")
+    folder = scratch(spark, "by-file")
     publish_snapshot(spark, {"orders": table}, folder, keys={"orders": "code"}, rows_per_file=1_000_000)
     upsert_files(spark, folder, "orders", batch, "code", ["status"])
     first = table.filter(F.col("code") <= top // 50).select("code")
@@ -98,7 +91,7 @@ def upsert_by_file(spark, d):
 def lasting_codes_query(spark, d):
     """Of the clients of a first refresh half are gone in the second, others are new; who stays keeps the code."""
     clients = Tables(spark, d)("customer", "c_custkey").withColumnRenamed("c_custkey", "client")
-    folder = _folder(spark, "codes")
+    folder = scratch(spark, "codes")
 
     def refresh(name, rows):
         return lasting_codes(spark, folder, "clients", rows, ["client"], "code", "cu", 12).select(F.lit(name).alias("refresh"), "client", "code")

@@ -40,7 +40,8 @@ def last_by(df: DataFrame, key: list[str], order: list[str | Column]) -> DataFra
     return _one_per_key(df, key, order, last=True)
 
 
-def _no_null(key: list[str]) -> Column:
+def no_null(key: list[str]) -> Column:
+    """True where no part of the key is NULL."""
     test = F.lit(True)
     for c in key:
         test = test & F.col(c).isNotNull()
@@ -49,13 +50,13 @@ def _no_null(key: list[str]) -> Column:
 
 def unique_rows(batch: DataFrame, key: list[str], order: list[str | Column]) -> DataFrame:
     """The first row per unique key of a batch; rows with a NULL in the key are all kept."""
-    whole = _no_null(key)
+    whole = no_null(key)
     return first_by(batch.filter(whole), key, order).unionByName(batch.filter(~whole))
 
 
 def new_rows(table: DataFrame, batch: DataFrame, key: list[str], order: list[str | Column]) -> DataFrame:
     """Rows of `batch` that insert-if-absent would add to `table`."""
-    whole = _no_null(key)
+    whole = no_null(key)
     firsts = store(first_by(batch.filter(whole), key, order), "batch")
     taken = present_keys(table, join_key(*key), Stored(firsts.df, firsts.rows, firsts.bytes), join_key(*key))
     fresh = firsts.df.join(taken, join_key(*key) == F.col("_key"), "left_anti")
@@ -149,27 +150,8 @@ class Register:
     order: list[str] = field(default_factory=list)
 
 
-def precedence_merge(
-    registers: list[Register],
-    key: str,
-    columns: list[str],
-    note: str = "notes",
-    keep_notes: bool = False,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Merge registers: the first row to supply a code gives all columns, later ones append a labelled note.
-
-    Rows of a register come in order of all its order columns, and then of all
-    their values, NULL first; without order columns by the values alone.  Equal
-    rows count one by one.
-
-    Appending a NULL note empties the text collected so far, and the next note
-    starts anew; with `keep_notes` a NULL note appends nothing.
-
-    The text is what follows the last emptying note, so it needs one bound per
-    code and an ordered join of the remaining notes, not a pass over the
-    group's rows in one place.
-    """
+def tagged_rows(registers: list[Register], key: str, columns: list[str], note: str) -> DataFrame:
+    """The rows of all registers with their place among them, `_ord`; equal rows are one with their number, `_m`."""
     types = {f.name: f.dataType for r in reversed(registers) for f in r.df.schema.fields}
     depth = max((len(r.order) for r in registers), default=0)
 
@@ -203,8 +185,17 @@ def precedence_merge(
             for prio, r in enumerate(registers)
         ]
     )
-    # Equal rows as one with their number, which needs no order among them; read twice below.
-    tagged = write_once(tagged.groupBy(key, *columns, note, "_ord", "_label").agg(F.count(F.lit(1)).cast("int").alias("_m")), "registers")
+    return combined(tagged, key, columns, note)
+
+
+def combined(tagged: DataFrame, key: str, columns: list[str], note: str) -> DataFrame:
+    """Equal rows as one with their number, which needs no order among them."""
+    number = F.sum("_m") if "_m" in tagged.columns else F.count(F.lit(1))
+    return tagged.groupBy(key, *columns, note, "_ord", "_label").agg(number.cast("int").alias("_m"))
+
+
+def heads_of(tagged: DataFrame, key: str, columns: list[str], note: str) -> DataFrame:
+    """One row per code: the values of its first row, and the places of its first, last and last emptying row."""
     empty = F.col(note).isNull()
     heads = tagged.groupBy(key).agg(
         F.min(F.struct("_ord", F.struct(*columns, note).alias("v"))).alias("_head"),
@@ -213,7 +204,7 @@ def precedence_merge(
         F.max("_ord").alias("_last_ord"),
         F.max(F.when(empty, F.col("_ord"))).alias("_empty_ord"),
     )
-    heads = heads.select(
+    return heads.select(
         key,
         *[F.col(f"_head.v.`{c}`").alias(c) for c in columns],
         F.col(f"_head.v.`{note}`").alias("_first_note"),
@@ -223,9 +214,19 @@ def precedence_merge(
         "_last_ord",
         "_empty_ord",
     )
-    written = store(heads, "merged")
+
+
+def hot_codes(heads: Stored, key: str, hot_rows: int) -> DataFrame | None:
+    """Codes with many rows or long notes, as `lookup_join` takes them."""
+    return some_keys(heads.df.filter((F.col("_n") >= hot_rows) | (F.col("_bytes") >= HOT_BYTES)).select(F.col(key).alias("_hot")))
+
+
+def merged_texts(
+    tagged: DataFrame, written: Stored, key: str, columns: list[str], note: str, keep_notes: bool, hot_rows: int
+) -> DataFrame:
+    """The merged row of every code, from its rows (`tagged_rows`) and what was `written` of `heads_of` them."""
     several = Stored(written.df.filter("_n > 1"), written.rows, written.bytes)
-    hot = some_keys(written.df.filter((F.col("_n") >= hot_rows) | (F.col("_bytes") >= HOT_BYTES)).select(F.col(key).alias("_hot")))
+    hot = hot_codes(written, key, hot_rows)
     bounds = {"_f": F.col("_first_ord"), "_e": F.col("_empty_ord")}
     notes = lookup_join(
         tagged, several, join_key(key), join_key(key), bounds, "_several", hot=hot
@@ -244,3 +245,30 @@ def precedence_merge(
         emptied = (F.col("_empty_ord") == F.col("_last_ord")) & (F.col("_empty_ord") != F.col("_first_ord"))
         result = result.when(emptied, F.lit(None))
     return merged.select(key, *columns, result.otherwise(F.col("_text")).alias(note))
+
+
+def precedence_merge(
+    registers: list[Register],
+    key: str,
+    columns: list[str],
+    note: str = "notes",
+    keep_notes: bool = False,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Merge registers: the first row to supply a code gives all columns, later ones append a labelled note.
+
+    Rows of a register come in order of all its order columns, and then of all
+    their values, NULL first; without order columns by the values alone.  Equal
+    rows count one by one.
+
+    Appending a NULL note empties the text collected so far, and the next note
+    starts anew; with `keep_notes` a NULL note appends nothing.
+
+    The text is what follows the last emptying note, so it needs one bound per
+    code and an ordered join of the remaining notes, not a pass over the
+    group's rows in one place.
+    """
+    # Read twice below.
+    tagged = write_once(tagged_rows(registers, key, columns, note), "registers")
+    heads = store(heads_of(tagged, key, columns, note), "merged")
+    return merged_texts(tagged, heads, key, columns, note, keep_notes, hot_rows)

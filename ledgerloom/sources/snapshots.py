@@ -124,12 +124,18 @@ def _file_name() -> Column:
     return F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
 
 
-def _write_files(df: DataFrame, path: str, table: str, key: str | None, rows_per_file: int | None = None) -> list[dict]:
-    """Write a table in files of its own and list them; sorted by its key, so that few files hold a few neighbouring keys."""
+def _write_files(
+    df: DataFrame, path: str, table: str, key: str | None, rows_per_file: int | None = None, then: str | None = None
+) -> list[dict]:
+    """Write a table in files of its own and list them; sorted by its key, so that few files hold a few neighbouring keys.
+
+    Rows of one key are split over files by the column `then`, where many may share it.
+    """
     spark, schema = df.sparkSession, df.schema
     folder = f"data/{table}-{uuid.uuid4().hex}"
     if key:
-        df = df.repartitionByRange(F.col(key)).sortWithinPartitions(key)
+        by = [key, then] if then else [key]
+        df = df.repartitionByRange(*by).sortWithinPartitions(*by)
     writer = df.write.option("maxRecordsPerFile", rows_per_file) if rows_per_file else df.write
     writer.mode("errorifexists").parquet(f"{path}/{folder}")
     written = spark.read.schema(schema).parquet(f"{path}/{folder}")
@@ -207,6 +213,41 @@ def _part(last: Snapshot, table: str, files: list[dict]) -> DataFrame:
     return last.spark.read.schema(schema).parquet(*[f"{last.path}/{f['file']}" for f in files])
 
 
+@dataclass(frozen=True)
+class Part:
+    """Those files of a published table that hold given keys, with all their rows."""
+
+    df: DataFrame
+    files: list
+    searched: int
+
+
+def files_with(last: Snapshot, table: str, key: str, keys: Stored) -> Part:
+    """The files of a table that hold a key of `keys`."""
+    touched, searched = _touched(last, table, key, keys)
+    return Part(_part(last, table, touched), touched, searched)
+
+
+def replace_parts(
+    last: Snapshot, key: str, parts: dict[str, tuple[Part, DataFrame]], added: dict[str, DataFrame], then: dict[str, str] | None = None
+) -> Updated:
+    """The next version of several tables at once: new rows in place of a part of each, and rows `added` to others.
+
+    Files of a table are sorted by `key`, and by the column `then` names for it.
+    """
+    files, kept = list(last.files), 0
+    for table, (part, rows) in parts.items():
+        gone = {f["file"] for f in part.files}
+        rest = [f for f in files if f["table"] == table and f["file"] and f["file"] not in gone]
+        new = _write_files(rows, last.path, table, key, then=(then or {}).get(table))
+        files = [f for f in files if f["table"] != table] + rest + [f for f in new if f["file"] or not rest]
+        kept += len(rest)
+    for table, rows in added.items():
+        files = [f for f in files if f["table"] != table or f["file"]] + _write_files(rows, last.path, table, None)
+    used = [part for part, _ in parts.values()]
+    return Updated(_commit(last.spark, last.path, last, files), sum(p.searched for p in used), sum(len(p.files) for p in used), kept)
+
+
 def upsert_files(
     spark: SparkSession,
     path: str,
