@@ -322,14 +322,17 @@ def train(rounds: int = 150, rate: float = 0.1, shrink: float = 0.02) -> Field:
     return Field(weights, steps)
 
 
-_SPELT = re.compile(r"(?i)\S+(?: dot \S+)* ?(?:@|\(at\)|\[at\]|\bat\b) ?\S+(?: ?(?:\.|\(dot\)|\[dot\]|\bdot\b) ?\S+)*")
+_NAME = r"[\w+%-]+"
+_DOT = r"(?:\.| ?(?:\(dot\)|\[dot\]|\bdot\b) ?)"
+#: A name, a sign, and a domain whose last part is of letters; a written full stop has no blank beside it.
+_SPELT = re.compile(rf"(?i){_NAME}(?:{_DOT}{_NAME})* ?(?:@|\(at\)|\[at\]|\bat\b) ?[\w-]+(?:{_DOT}[\w-]+)*{_DOT}[^\W\d_]{{2,}}")
 
 
 def plausible(kind: str, found: str) -> bool:
     """Whether a span of the field can be of its kind at all: a spelt address, or as many digits as the kind has."""
     numbers = re.findall("[0-9]+", found)
     if kind == "email":
-        return bool(_SPELT.fullmatch(found)) and bool(re.search(r"(?i)\.|[ (\[]dot", found))
+        return bool(_SPELT.fullmatch(found))
     if kind == "ip":
         return len(numbers) >= 4 and all(len(p) <= 3 and int(p) <= 255 for p in numbers[:4])
     low, high = (13, 19) if kind == "card" else (7, 15)

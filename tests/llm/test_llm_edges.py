@@ -1,5 +1,9 @@
 """Every operator on odd tables: nulls, empty and long texts, ties, repeated rows, clashing names, no rows."""
 
+import math
+import random
+from fractions import Fraction
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,6 +93,27 @@ def test_pages_and_vectors(rows, tmp_path):
     assert topk.search(rows(shape, []), F.col("vec_id") % 50 == 0).collect() == []
 
 
+def test_topk_with_large_components(rows):
+    """Finite components of any size take part; scores are summed exactly and then held within 64 bits."""
+    rnd, most = random.Random(5), 2**63 - 1
+    large = [0.0, 1.0, -1.0, 0.003, -0.003, 2.0**45 + 0.5, -(2.0**53), 3e9, 1e30, -1e30, 2e30, 1.7e308]
+    vectors = [(i, [rnd.choice(large) if rnd.random() < 0.4 else rnd.uniform(-2, 2) for _ in range(4)]) for i in range(300)]
+    exact = {i: [math.floor(Fraction(x) * 256) for x in v] for i, v in vectors}
+    expected = []
+    for q in range(0, 300, 50):
+        scores = sorted((-max(-most, min(most, sum(x * y for x, y in zip(exact[q], v)))), i) for i, v in exact.items() if i != q)
+        expected += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:5])]
+    found = topk.search(rows("vec_id long, embedding array<double>", vectors), F.col("vec_id") % 50 == 0).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found) == expected
+
+
+def test_pii_refuses_prose_with_full_stops():
+    for text in ("*** at.&&", "$$ at.&&", "anines. At and. Of", "look at this. It is", "a at b.1", "at.home"):
+        assert not pii.plausible("email", text), text
+    for text in ("jane [at] example [dot] com", "j.doe at mail.example.org", "jane dot doe at example dot com", "ann(at)host.net", "zoë@bücher.de"):
+        assert pii.plausible("email", text), text
+
+
 def test_stages_take_odd_documents(docs, spark, tmp_path):
     spark.createDataFrame([], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     for _, stage in corpus_pipeline.STAGES:
