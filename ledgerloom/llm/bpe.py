@@ -20,7 +20,6 @@ import heapq
 import json
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import lean, pieces
+from ledgerloom.llm.common import SLICE_BYTES, lean, pieces
 
 LONG_WORD = 200
 CACHED_WORDS = 300_000
@@ -240,9 +239,11 @@ def ragged(flat: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray
 def kinds() -> np.ndarray:
     """For each code point: 0 white space, 1 letter, 2 number, 3 anything else."""
     found = np.full(0x110000, 3, np.uint8)
-    every = "".join(map(chr, chain(range(0xD800), range(0xE000, 0x110000))))
-    for kind, pattern in ((0, f"[{_SPACE}]"), (1, r"\p{L}"), (2, r"\p{N}")):
-        found[[ord(c) for c in regex.findall(pattern, every)]] = kind
+    for first, after in ((0, 0xD800), (0xE000, 0x110000)):  # all but the surrogates, as one text without an object for each
+        every = np.arange(first, after, dtype="<u4").tobytes().decode("utf-32-le")
+        for kind, pattern in ((0, f"[{_SPACE}]+"), (1, r"\p{L}+"), (2, r"\p{N}+")):
+            for run in regex.finditer(pattern, every):
+                found[first + run.start() : first + run.end()] = kind
     return found
 
 
@@ -311,7 +312,7 @@ def round_trip(
     @lean
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = rank_array(shared.value)
-        for batch in pieces(batches):
+        for batch in pieces(batches, size=SLICE_BYTES // 4):
             sizes, ids = table.encode([t or "" for t in batch.column(1).to_pylist()])
             ends = np.concatenate([[0], np.cumsum(sizes)])
             widths, text_bytes = table.decode_bytes(ids)
