@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import SLICE_BYTES, lean, pieces
+from ledgerloom.llm.common import SLICE_BYTES, hand_back, lean, pieces
 
 LONG_WORD = 200
 CACHED_WORDS = 300_000
@@ -328,5 +328,7 @@ def round_trip(
                 ],
                 names=schema.names,
             )
+            del sizes, ids, ends, widths, text_bytes, cuts, texts
+            hand_back()  # the arrays of slices of unlike sizes leave holes, which would add up
 
     return docs.select(key, text, *keep).mapInArrow(code, schema)

@@ -35,6 +35,14 @@ def pieces(batches: Iterator[pa.RecordBatch], column: int = 1, size: int = SLICE
             start = stop
 
 
+def hand_back() -> None:
+    """Give memory that this worker has freed back to the machine."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: it keeps its own counsel
+        pass
+
 
 def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """`run`, a pass over the batches of a task, after which the worker hands back the memory that it no longer needs.
@@ -46,10 +54,6 @@ def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     def passed(batches: Iterator) -> Iterator:
         yield from run(batches)
         gc.collect()
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL("libc.so.6").malloc_trim(0)
-        except (OSError, AttributeError):  # another C library: it keeps its own counsel
-            pass
+        hand_back()
 
     return passed
