@@ -1,10 +1,14 @@
-"""Queries on published versions, updates by file, lasting codes and checked writes."""
+"""Queries on published versions, updates by file, lasting codes, checked writes and loads that count their rejects."""
 
 from pyspark.sql import functions as F
 
-from ledgerloom.catalog.registry import Tables, query, scratch
+from ledgerloom.catalog import shaping
+from ledgerloom.catalog.registry import ENTRIES, Tables, query, scratch
+from ledgerloom.functions.dates import ENGLISH_REASONS
 from ledgerloom.operators.dictionary import lasting_codes
+from ledgerloom.operators.skew import union_all
 from ledgerloom.sources.checked import Rules, checked_write
+from ledgerloom.sources.counted import listed_reasons, load
 from ledgerloom.sources.snapshots import open_snapshot, publish_snapshot, update_files, upsert_files
 
 
@@ -137,3 +141,31 @@ def checked_write_query(spark, d):
         .unionByName(found.good.groupBy("flag").count().select(*named("good", F.col("flag")), F.col("count").alias("n")))
         .unionByName(found.repeated.select(*named("repeated", F.col("keys")), "n"))
     )
+
+
+@query(
+    "load_rejects",
+    f"""
+    WITH dated AS ({ENTRIES["parse_english_date"].oracle}), numbers AS ({ENTRIES["clean_numbers"].oracle})
+    SELECT 'dates' AS load, 'reject' AS what, reject AS name, count(*) AS n FROM dated WHERE reject IS NOT NULL GROUP BY reject
+    UNION ALL SELECT 'dates', 'rows', 'rows', count(*) FROM dated
+    UNION ALL SELECT 'dates', 'year', left(iso, 4), count(*) FROM dated WHERE iso IS NOT NULL GROUP BY left(iso, 4)
+    UNION ALL SELECT 'numbers', 'reject', 'not a number', count(*) FROM numbers WHERE rejected HAVING count(*) > 0
+    UNION ALL SELECT 'numbers', 'rows', 'rows', count(*) FROM numbers
+    UNION ALL SELECT 'numbers', 'year', 'none', count(*) FROM numbers WHERE thousands IS NULL
+    """,
+)
+def load_rejects(spark, d):
+    """Dates and numbers of all orders are cleaned and written once; the counts of what was unreadable come from that write."""
+    dated = load(shaping.parse_english_date(spark, d), listed_reasons(ENGLISH_REASONS, "reject"), lambda df: df.drop("reject"), "dates")
+    numbers = load(shaping.clean_numbers(spark, d), {"not a number": [F.col("rejected")]}, lambda df: df.drop("rejected"), "numbers")
+    parts = []
+    for name, found, value in (
+        ("dates", dated, F.left("iso", F.lit(4))),
+        ("numbers", numbers, F.when(F.col("thousands").isNull(), "none")),
+    ):
+        counts = found.df.select(value.alias("name")).filter("name IS NOT NULL").groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+        rows = spark.createDataFrame([("rows", found.rows)], "name string, n long")
+        for what, df in (("reject", found.rejects.withColumnRenamed("reason", "name")), ("rows", rows), ("year", counts)):
+            parts.append(df.select(F.lit(name).alias("load"), F.lit(what).alias("what"), "name", "n"))
+    return union_all(parts)

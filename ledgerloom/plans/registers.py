@@ -9,10 +9,10 @@ from ledgerloom.functions.predicates import min_len, route
 from ledgerloom.functions.text import agents_with_roles, empty_to_null, map_values, null_after, to_int, unreadable_number
 from ledgerloom.operators.joins import decode
 from ledgerloom.operators.shape import copy_positional
-from ledgerloom.operators.skew import union_all
 from ledgerloom.plans.base import JobResult, Sources, fill, numbered, seed
 from ledgerloom.plans.fixed import ARTICLE_WORDS, DELETED, SALE_UNITS, TRANSACTION_DIRECTIONS, UNCHANGED_TABLES
 from ledgerloom.plans.schemas import schema
+from ledgerloom.sources.counted import listed_reasons, load
 from ledgerloom.sources.tables import lookup
 
 # Old and new column names.
@@ -119,11 +119,12 @@ def transactions(src: Sources) -> JobResult:
 def clients(src: Sources) -> JobResult:
     """Clients with parsed first and last dates."""
     copied = copy_positional(src["clients"], schema("stn_client"))
-    dated = copied
+    dated, lost = copied, []
     for column in ("first_date", "last_date"):
-        dated = dates.add_english_date(dated, column, column)
-    cells = union_all([copied.select(F.col(c).alias("cell")) for c in ("first_date", "last_date")])
-    return JobResult({"stn_client": fill("stn_client", dated)}, {"client dates": dates.english_date_rejects(cells, "cell")})
+        lost.append(f"_lost_{column}")
+        dated = dates.add_english_date(dated, column, column, reject=lost[-1])
+    loaded = load(dated, listed_reasons(dates.ENGLISH_REASONS, *lost), lambda df: fill("stn_client", df), "clients-dated")
+    return JobResult({"stn_client": loaded.df}, {"client dates": loaded.rejects})
 
 
 def ledgers(src: Sources) -> JobResult:
@@ -134,8 +135,11 @@ def registers(src: Sources) -> JobResult:
     """Stampings, banned list, prison register, auctions with administrators, and sales."""
     events = src["manuscript_events"]
     counts = ("EventCopies", "EventVols")
-    stamping = fill(
-        "stamping", events.withColumns({c: to_int(empty_to_null(c)) for c in counts}), STAMPING_COLUMNS
+    stamping = load(
+        events,
+        {"not a number": [unreadable_number(c) for c in counts]},
+        lambda df: fill("stamping", df.withColumns({c: to_int(empty_to_null(c)) for c in counts}), STAMPING_COLUMNS),
+        "stamping",
     )
 
     illegal = src["manuscript_titles_illegal"].withColumn(
@@ -168,7 +172,12 @@ def registers(src: Sources) -> JobResult:
         sold.withColumnRenamed("salesNumber", "auction_id"), "ID_Agent", ["auction_id"], "administrator_id", "role"
     )
     with_role = decode(agents, seed(sold, "auction_role"), "role", "role", {"administrator_role": "ID"})
-    unknown = F.when(F.col("role").isNotNull() & F.col("administrator_role").isNull(), "unknown role")
+    administrators = load(
+        with_role,
+        {"unknown role": [F.col("role").isNotNull() & F.col("administrator_role").isNull()]},
+        lambda df: fill("auction_administrator", df),
+        "administrators",
+    )
 
     sales = src["manuscript_events_sales"]
     typed = decode(sales, seed(sales, "sale_type"), "EventType", "type", {"sale_type": "ID"}, ci=True)
@@ -182,18 +191,12 @@ def registers(src: Sources) -> JobResult:
     )
     return JobResult(
         {
-            "stamping": stamping,
+            "stamping": stamping.df,
             "banned_list_record": numbered("banned_list_record", banned, banned.columns),
             "bastille_register_record": numbered("bastille_register_record", bastille, bastille.columns),
             "parisian_stock_auction": auctions,
-            "auction_administrator": fill("auction_administrator", with_role),
+            "auction_administrator": administrators.df,
             "parisian_stock_sale": fill("parisian_stock_sale", typed, SALE_COLUMNS),
         },
-        {
-            "stamping counts": dates.reject_counts(
-                union_all([events.select(F.col(c).alias("cell")) for c in counts]),
-                F.when(unreadable_number("cell"), "not a number"),
-            ),
-            "auction roles": dates.reject_counts(with_role, unknown),
-        },
+        {"stamping counts": stamping.rejects, "auction roles": administrators.rejects},
     )
