@@ -271,3 +271,45 @@ def test_equal_and_repeated_rows_of_one_register(rows):
     later = rows("code string, name string, notes string, o string", [("c1", "m", "z", "b"), ("c1", "m", "w", "a"), ("c2", "m", None, "a")])
     got = merge.precedence_merge([merge.Register(first, ": "), merge.Register(later, "; ", ["o"])], "code", ["name"])
     assert {r.code: r.notes for r in got.collect()} == {"c1": "a: b; w; z", "c2": None, "c3": ": y"}
+
+
+def test_gathered_counterparts_move_lists_not_rows(rows, monkeypatch):
+    """One row for each row of the left side, however many counterparts it has, but for keys with very many."""
+    left = rows("i int, k string", [(1, "a"), (2, "b"), (3, None), (4, "a")])
+    pairs = rows("k string, v string", [("a", "x"), ("a", "y"), ("a", "y"), ("b", None), (None, "z")])
+    got = joins.gathered_counterparts(left, pairs, "k", "k", "v", "v")
+    assert sorted((r["i"], sorted(r["v"] or [])) for r in got.collect()) == [(1, ["x", "y"]), (2, []), (3, []), (4, ["x", "y"])]
+    monkeypatch.setattr(joins, "GATHERED", 1)
+    got = joins.gathered_counterparts(left, pairs, "k", "k", "v", "v")
+    assert sorted((r["i"], v) for r in got.collect() for v in r["v"] or [None]) == sorted(
+        [(1, "x"), (1, "y"), (2, None), (3, None), (4, "x"), (4, "y")], key=lambda p: (p[0], p[1] or "")
+    )
+
+
+def test_join_lists_as_join_text(rows, partitions):
+    rnd = random.Random(5)
+    data = [
+        (k, rnd.choice(["t", "u", None]), rnd.choice([None, [], ["b", "a"], ["c", None, "a"]]))
+        for k in [*["hot"] * 60, None, None, "none", *[f"k{i % 9}" for i in range(50)]]
+    ]
+    data.append(("none", "t", None))
+    df = rows("k string, t string, v array<string>", data)
+    want = {}
+    for k, t, v in data:
+        want.setdefault(k, []).extend(f"{t}({a})" for a in v or [] if t is not None and a is not None)
+    want = sorted(((k, ";".join(sorted(p)) if p else None) for k, p in want.items()), key=repr)
+    pieces = lambda row: F.transform(row["v"], lambda a: F.concat(row["t"], F.lit("("), a, F.lit(")")))
+    for hot_rows, hot_bytes in ((10, 10**9), (10**9, 100), (10**9, 10**9)):
+        assert bag(skew.join_lists(df, "k", ["t", "v"], pieces, ";", "x", hot_rows, hot_bytes)) == want
+
+
+def test_lowest_notes_when_the_lowest_client_is_unknown(rows):
+    """An agent's note is that of its lowest client that is listed; NULL codes and repeats don't count."""
+    from ledgerloom.plans.agents import lowest_notes
+
+    pairs = rows(
+        "client_code string, agent_code string",
+        [("c1", "a"), ("c2", "a"), ("c2", "b"), ("c2", "b"), ("c0", "c"), (None, "c"), ("c0", "d"), ("c3", "d"), ("c4", "d"), (None, "e")],
+    )
+    clients = rows("client_code string, notes string", [("c1", "one"), ("c2", None), ("c3", "three"), ("c4", "four"), (None, "never")])
+    assert bag(lowest_notes(pairs, clients)) == [("a", "one"), ("b", None), ("d", "three")]
