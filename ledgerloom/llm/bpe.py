@@ -7,7 +7,8 @@ arrays of all new words of a slice lie side by side in one numpy matrix for each
 word length, so that a step serves all of them.  The scan is quadratic in the
 parts, which is best for the short words that texts consist of; words over
 LONG_WORD bytes take a heap of the same pairs instead.  A task keeps the parts of
-the words it has met, and starts anew after CACHED_WORDS.
+the words it has met, starts anew after CACHED_WORDS, and drops them when it ends.
+The driver makes the tables once; workers get them as arrays, not the file.
 
 Ids are those of the tokenizer file: pairs merge by the file's merge order, the
 leftmost first, and texts are cut at the added special tokens before they are
@@ -19,7 +20,7 @@ from __future__ import annotations
 import heapq
 import json
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -53,29 +54,40 @@ class RankArray:
     def __init__(self, tokenizer_json: str):
         spec = json.loads(tokenizer_json)
         letters, vocab = byte_letters(), spec["model"]["vocab"]
-        self.bytes_of = {i: bytes(letters[c] for c in token) for token, i in vocab.items()}
+        bytes_of = {i: bytes(letters[c] for c in token) for token, i in vocab.items()}
         self.byte_ids = [0] * 256
-        for i, b in self.bytes_of.items():
+        for i, b in bytes_of.items():
             if len(b) == 1:
                 self.byte_ids[b[0]] = i
         merges = [p if isinstance(p, list) else p.split(" ") for p in spec["model"]["merges"]]
-        self.rank = {vocab[left] << 32 | vocab[right]: k for k, (left, right) in enumerate(merges)}
+        rank = {vocab[left] << 32 | vocab[right]: k for k, (left, right) in enumerate(merges)}
         self.merged = np.array([vocab[left + right] for left, right in merges], np.int64)
-        keys = np.fromiter(self.rank, np.int64, len(self.rank))
+        keys = np.fromiter(rank, np.int64, len(rank))
         order = np.argsort(keys)
-        self.pairs, self.pair_ranks = keys[order], np.fromiter(self.rank.values(), np.int64, len(keys))[order]
+        self.pairs, self.pair_ranks = keys[order], np.fromiter(rank.values(), np.int64, len(keys))[order]
         self.byte_array = np.array(self.byte_ids, np.int64)
         self.byte_ranks = self._ranks(np.repeat(self.byte_array, 256), np.tile(self.byte_array, 256)).reshape(256, 256)
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", ())}
-        self.bytes_of |= {i: s.encode() for s, i in self.special.items()}
+        bytes_of |= {i: s.encode() for s, i in self.special.items()}
         ordered = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, ordered)) + ")") if ordered else None
-        self.id_sizes = np.zeros(max(self.bytes_of) + 1, np.int64)
-        for i, b in self.bytes_of.items():
+        self.id_sizes = np.zeros(max(bytes_of) + 1, np.int64)
+        for i, b in bytes_of.items():
             self.id_sizes[i] = len(b)
         self.id_begin = np.cumsum(self.id_sizes) - self.id_sizes
-        self.id_bytes = np.frombuffer(b"".join(self.bytes_of[i] for i in sorted(self.bytes_of)), np.uint8)
-        self._learn(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        self.id_bytes = np.frombuffer(b"".join(bytes_of[i] for i in sorted(bytes_of)), np.uint8)
+        self.forget()
+
+    @cached_property
+    def rank(self) -> dict[int, int]:
+        """The merge rank of each pair, for long words, which few tasks meet."""
+        return dict(zip(self.pairs.tolist(), self.pair_ranks.tolist()))
+
+    def forget(self) -> None:
+        """Drop the words met so far."""
+        self.names, self.sizes, self.begin = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.int32)
+        self.__dict__.pop("rank", None)
 
     def parts_of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The number of parts of each word, and the ids of all words one after the other."""
@@ -187,21 +199,21 @@ class RankArray:
         lengths = np.diff(starts, append=len(points))
         power = np.cumprod(np.full(int(lengths.max()), _BASE, np.uint64))
         inside = np.arange(len(points)) - np.repeat(starts, lengths)
-        names, first, which = np.unique(
-            np.add.reduceat((points.astype(np.uint64) + np.uint64(1)) * power[inside], starts), return_index=True, return_inverse=True
-        )
+        letters = points.astype(np.uint64)
+        letters += np.uint64(1)
+        letters *= power[inside]
+        names, first, which = np.unique(np.add.reduceat(letters, starts), return_index=True, return_inverse=True)
+        del inside, letters
         at, new = self._find(names)
         if new.any():
             own = starts[first[new]]
             words = [whole[a : a + n].encode() for a, n in zip(own.tolist(), lengths[first[new]].tolist())]
             sizes, ids = self.parts_of(words)
-            keep = self.names if len(self.names) + len(words) <= CACHED_WORDS else self.names[:0]
-            if not len(keep) and len(self.names):  # full: go on with the words of this slice
-                sizes_of, ids_of = self.sizes[at[~new]], self._ids(at[~new])
-                keep = names[~new]
-            else:
-                sizes_of, ids_of = self.sizes, self._ids(np.arange(len(keep)))
-            self._learn(np.concatenate([keep, names[new]]), np.concatenate([sizes_of, sizes]), np.concatenate([ids_of, ids]))
+            if len(self.names) + len(words) > CACHED_WORDS:  # full: go on with the words of this slice
+                met, sizes_of, ids_of = names[~new], self.sizes[at[~new]], self._ids(at[~new])
+                self.forget()
+                self._learn(met, sizes_of, ids_of)
+            self._learn(names[new], sizes, ids)
             at, _ = self._find(names)
         at = at[which]
         return self.sizes[at], self._ids(at)
@@ -214,8 +226,12 @@ class RankArray:
         return at, self.names[at] != names
 
     def _learn(self, names: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
-        begin, order = np.cumsum(sizes) - sizes, np.argsort(names)
-        self.names, self.sizes, self.begin, self.flat = names[order], sizes[order], begin[order], ids
+        names = np.concatenate([self.names, names])
+        order = np.argsort(names)
+        self.names = names[order]
+        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(sizes, dtype=np.int64) - sizes])[order]
+        self.sizes = np.concatenate([self.sizes, sizes.astype(np.int32)])[order]
+        self.flat = np.concatenate([self.flat, ids.astype(np.int32)])
 
     def _ids(self, at: np.ndarray) -> np.ndarray:
         return ragged(self.flat, self.begin[at], self.sizes[at])
@@ -231,8 +247,9 @@ class RankArray:
 
 def ragged(flat: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """flat[b : b + n] for each b and n, one after the other."""
-    shift = np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
-    return flat[shift + np.arange(len(shift))]
+    at = np.repeat(begin - (np.cumsum(sizes, dtype=np.int64) - sizes), sizes)
+    at += np.arange(len(at))
+    return flat[at]
 
 
 @cache
@@ -274,17 +291,6 @@ def word_starts(points: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
-_TABLES: dict[str, RankArray] = {}
-
-
-def rank_array(tokenizer_json: str) -> RankArray:
-    """The tables of a tokenizer, made once in each Python worker."""
-    if tokenizer_json not in _TABLES:
-        _TABLES.clear()
-        _TABLES[tokenizer_json] = RankArray(tokenizer_json)
-    return _TABLES[tokenizer_json]
-
-
 def round_trip(
     docs: DataFrame, tokenizer_json: str, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -296,9 +302,9 @@ def round_trip(
     gives an empty one.  No shuffle: the rows are coded where they are read.
 
     `tokenizer_json` is the content of a byte-level BPE file of the tokenizers library (a few MB, whatever the data),
-    which the driver reads and broadcasts.
+    which the driver reads; it broadcasts the tables made of it.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
+    shared = docs.sparkSession.sparkContext.broadcast(RankArray(tokenizer_json))
     schema = T.StructType(
         [
             T.StructField(key, docs.schema[key].dataType),
@@ -311,24 +317,27 @@ def round_trip(
 
     @lean
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = rank_array(shared.value)
-        for batch in pieces(batches, size=SLICE_BYTES // 4):
-            sizes, ids = table.encode([t or "" for t in batch.column(1).to_pylist()])
-            ends = np.concatenate([[0], np.cumsum(sizes)])
-            widths, text_bytes = table.decode_bytes(ids)
-            cuts = np.concatenate([[0], np.cumsum(widths)])[ends]
-            texts = [text_bytes[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(cuts[:-1], cuts[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32))),
-                    pa.array(sizes),
-                    pa.array(texts, pa.string()),
-                    *batch.columns[2:],
-                ],
-                names=schema.names,
-            )
-            del sizes, ids, ends, widths, text_bytes, cuts, texts
-            hand_back()  # the arrays of slices of unlike sizes leave holes, which would add up
+        table = shared.value
+        try:
+            for batch in pieces(batches, size=SLICE_BYTES // 4):
+                sizes, ids = table.encode([t or "" for t in batch.column(1).to_pylist()])
+                ends = np.concatenate([[0], np.cumsum(sizes)])
+                widths, text_bytes = table.decode_bytes(ids)
+                cuts = np.concatenate([[0], np.cumsum(widths)])[ends]
+                texts = [text_bytes[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(cuts[:-1], cuts[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0),
+                        pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32))),
+                        pa.array(sizes),
+                        pa.array(texts, pa.string()),
+                        *batch.columns[2:],
+                    ],
+                    names=schema.names,
+                )
+                del sizes, ids, ends, widths, text_bytes, cuts, texts
+                hand_back()  # the arrays of slices of unlike sizes leave holes, which would add up
+        finally:
+            table.forget()  # a worker outlives the task, and others wait beside it
 
     return docs.select(key, text, *keep).mapInArrow(code, schema)

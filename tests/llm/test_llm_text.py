@@ -282,3 +282,19 @@ def test_label_model_discounts_voters_that_agree_with_each_other():
     votes = np.stack([*good, echo, echo, echo, echo], axis=1).astype(float)
     belief = toxicity.label_model(votes, y.astype(int))
     assert ((belief > 0.5) == y).mean() > 0.97
+
+
+def test_bpe_tables_travel_small_and_forget():
+    """Workers get arrays, not the file's objects, and drop the words of a task; ids stay those of a fresh table."""
+    import pickle
+
+    own = bpe.RankArray(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read())
+    texts = ["Some words, some more words", "", "a" * 500 + " caf\u00e9 \U0001f600", "words again"]
+    want = [part.tolist() for part in own.encode(texts)]
+    sent = pickle.loads(pickle.dumps(own))
+    assert not [v for v in vars(bpe.RankArray(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read())).values() if isinstance(v, dict) and len(v) > 1000]
+    for _ in range(2):
+        assert [part.tolist() for part in sent.encode(texts)] == want
+        assert len(sent.names) and sent.decode(want[1]) == "".join(texts)
+        sent.forget()
+        assert not len(sent.names) and not len(sent.flat) and "rank" not in vars(sent)
