@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import SLICE_BYTES, hand_back, lean, pieces
+from ledgerloom.llm.common import SLICE_BYTES, hand_back, lean, pieces, small_batches
 
 LONG_WORD = 200
 CACHED_WORDS = 300_000
@@ -304,6 +304,7 @@ def round_trip(
     `tokenizer_json` is the content of a byte-level BPE file of the tokenizers library (a few MB, whatever the data),
     which the driver reads; it broadcasts the tables made of it.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(RankArray(tokenizer_json))
     schema = T.StructType(
         [

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: An Arrow slice handed to one step of a task holds about so many bytes of text, or a single row.
 SLICE_BYTES = 2 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
@@ -21,6 +22,16 @@ def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{folder}/{name}.parquet").select(*columns)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on Spark hands rows to workers about SLICE_BYTES at a time, unless the session says how many bytes.
+
+    By itself it fills a batch up to 10,000 rows or 64 MB, which the executor and the worker hold several times over;
+    what is freed of blocks so large stays with the process.  Rows and their order are the same.
+    """
+    if _BATCH not in spark.conf.getAll:
+        spark.conf.set(_BATCH, str(SLICE_BYTES))
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: int = 1, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about `size` bytes of text or binary in `column`, so that a task's memory is bounded."""
     for batch in batches:

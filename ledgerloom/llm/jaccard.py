@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import shingles
-from ledgerloom.llm.common import SLICE_BYTES, lean, pieces
+from ledgerloom.llm.common import SLICE_BYTES, lean, pieces, small_batches
 from ledgerloom.llm.components import components
 from ledgerloom.session import Stored, store, write_once
 
@@ -55,6 +55,10 @@ BLOCK = 64
 PAIRS = 1 << 19
 #: Postings that a task packs together; more than any overlap.
 DEALT_ROWS = 1_000_000
+#: Listed postings in one batch.
+LISTED_ROWS = 50_000
+#: Texts whose shingles are worked out in one go: numpy holds some fifty times their size meanwhile.
+TEXT_BYTES = SLICE_BYTES // 4
 FAR = 1 << 40
 
 
@@ -82,7 +86,7 @@ def rarity(docs: DataFrame) -> np.ndarray:
     @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, salt = np.zeros(CELLS, np.uint32), 0
-        for batch in pieces(batches):
+        for batch in pieces(batches, size=TEXT_BYTES):
             names = shingles.sets(_texts(batch))
             salt ^= zlib.crc32(str(batch.column(0)[0]).encode())
             own, often = np.unique((np.concatenate(names) >> _CELL_SHIFT).astype(np.int32), return_counts=True)
@@ -93,6 +97,7 @@ def rarity(docs: DataFrame) -> np.ndarray:
             names=["stripe", "salt", "counts"],
         )
 
+    @lean
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -119,7 +124,7 @@ def documents(docs: DataFrame, shared: Broadcast) -> DataFrame:
     @lean
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
-        for batch in pieces(batches):
+        for batch in pieces(batches, size=TEXT_BYTES):
             found = shingles.sets(_texts(batch))
             names, prefixes = [], []
             for own in found:
@@ -174,9 +179,11 @@ def shared_lists(nodes: DataFrame, shared: Broadcast, total: int) -> DataFrame:
     """
     tasks = max(1, -(-total // TASK_ROWS))
     buckets = 4 * tasks
+    usual = int(np.median(shared.value))
 
     def packed(held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
         columns = [np.concatenate(x) for x in zip(*held)]
+        held.clear()
         bucket = (shingles.mixed(columns[0] + columns[1].astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         edges = np.flatnonzero(np.diff(bucket[order], prepend=-1))
@@ -194,7 +201,7 @@ def shared_lists(nodes: DataFrame, shared: Broadcast, total: int) -> DataFrame:
             names = np.asarray(batch.column(2).flatten())
             of = np.repeat(np.arange(len(node)), sizes)
             pos = np.arange(len(names)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            parts = _parts(names, shared.value)
+            parts = _parts(names, shared.value, usual)
             part = (shingles.mixed(node.view(np.uint64))[of] % parts.astype(np.uint64)).astype(np.int32)
             for i in range(0, len(names), DEALT_ROWS):
                 k = slice(i, i + DEALT_ROWS)
@@ -217,13 +224,13 @@ def shared_lists(nodes: DataFrame, shared: Broadcast, total: int) -> DataFrame:
         order = np.lexsort((node, part, name))
         name, part, node, n, pos = (x[order] for x in (name, part, node, n, pos))
         n = n.astype(np.int64)
-        keep = _matched(name, part, n, pos) | (_parts(name, shared.value) > 1)
+        keep = _matched(name, part, n, pos) | (_parts(name, shared.value, usual) > 1)
         name, part, node, n, pos = (x[keep] for x in (name, part, node, n, pos))
         starts, lengths = _runs(name, part)
         head, n_head = np.repeat(node[starts], lengths), np.repeat(n[starts], lengths)
         columns = [name, part, node, n, pos, head, n_head]
-        for i in range(0, len(columns[0]), 200_000):
-            yield pa.RecordBatch.from_arrays([pa.array(x[i : i + 200_000]) for x in columns], schema=_LISTED)
+        for i in range(0, len(columns[0]), LISTED_ROWS):
+            yield pa.RecordBatch.from_arrays([pa.array(x[i : i + LISTED_ROWS]) for x in columns], schema=_LISTED)
 
     rows = nodes.select("key", "n", "prefix").mapInArrow(deal, "bucket long, postings binary")
     return rows.repartition(tasks, "bucket").mapInArrow(list_up, "shingle long, part int, node long, n long, pos int, head long, n_head long")
@@ -257,9 +264,8 @@ def _matched(name: np.ndarray, part: np.ndarray, n: np.ndarray, pos: np.ndarray)
     return matched
 
 
-def _parts(name: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def _parts(name: np.ndarray, counts: np.ndarray, usual: int) -> np.ndarray:
     """Into how many parts the list of each shingle is cut: one for PART sets that its cell has beyond the usual."""
-    usual = int(np.median(counts))
     often = np.maximum(counts[(name.view(np.uint64) >> _CELL_SHIFT).astype(np.int64)].astype(np.int64) - 2 * usual, 0)
     return 1 + often // PART
 
@@ -345,7 +351,7 @@ def compared(docs: DataFrame, prefixes: DataFrame, pairs: DataFrame) -> DataFram
 
 
 def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[tuple], list[bytes]]]:
-    """Texts and what comes with them, about SLICE_BYTES of text at a time."""
+    """Texts and what comes with them, about TEXT_BYTES of text at a time."""
     heads, texts, size = [], [], 0
     for batch in batches:
         *others, packed = batch.columns
@@ -354,7 +360,7 @@ def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[tuple], l
             heads.append(head)
             texts.append(text)
             size += len(text)
-            if size >= SLICE_BYTES:
+            if size >= TEXT_BYTES:
                 yield heads, texts
                 heads, texts, size = [], [], 0
     if heads:
@@ -424,7 +430,7 @@ def rest_pairs(lists: DataFrame) -> DataFrame:
     rows = lists.select("shingle", pairs.alias("x"), "block", "node", "n", "pos", "part_of", F.coalesce("with_top", F.lit(-FAR)).alias("with_top"), F.coalesce("n_top", F.lit(-1)).alias("n_top"))
     rows = rows.select("shingle", "x.low", "x.high", "block", "node", "n", "pos", "part_of", "with_top", "n_top")
     dealt = rows.repartition("shingle", "low", "high").sortWithinPartitions("shingle", "low", "high", "n", "pos")
-    return dealt.mapInArrow(_pair_up, "a long, b long, sure boolean")
+    return dealt.mapInArrow(lean(_pair_up), "a long, b long, sure boolean")
 
 
 def _pair_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -531,6 +537,7 @@ def with_rows(docs: DataFrame, key: str) -> tuple[DataFrame, bool]:
 
 def components_of(source: DataFrame) -> DataFrame:
     """(key, n, component) of texts under unique keys: the size of each set and the smallest key that links reach from it."""
+    small_batches(source.sparkSession)
     context = source.sparkSession.sparkContext
     shared = context.broadcast(rarity(source))
     found = write_once(documents(source, shared), "jaccard-sets")
@@ -541,7 +548,7 @@ def components_of(source: DataFrame) -> DataFrame:
     total = nodes.agg(F.sum(F.size("prefix"))).first()[0] or 0
     lists = write_once(shared_lists(nodes, shared, total), "jaccard-lists")
     shared.destroy()
-    prefixes = some.select("key", F.struct("n", "prefix").alias("_own")).mapInArrow(_as_bytes, "key long, value binary")
+    prefixes = some.select("key", F.struct("n", "prefix").alias("_own")).mapInArrow(lean(_as_bytes), "key long, value binary")
     known = write_once(compared(source, prefixes, first_pairs(lists)), "jaccard-known")
     labels = store(components(linked(known)), "jaccard-labels")
     every = known

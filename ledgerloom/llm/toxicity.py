@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import lean, pieces
+from ledgerloom.llm.common import lean, pieces, small_batches
 from ledgerloom.session import write_once
 
 #: Bound of the labelled rows that the model is fitted on.
@@ -285,6 +285,7 @@ def fit(
 
     Without labelled rows of both kinds, or without any word that tells them apart, the model finds every text clean.
     """
+    small_batches(docs.sparkSession)
     sample = training_rows(docs, labels, key, text, label, sample_rows)
     rows = write_once(one_of_each(write_once(sample, "toxicity-labelled")), "toxicity-sample")
     n, toxic = rows.agg(F.count(F.lit(1)), F.sum((F.col("_label") > 0).cast("int"))).first()
@@ -330,7 +331,9 @@ def score(model: Model, text: Column) -> Column:
     """The model's score of a text column (0 to 1), as an Arrow batch function: rows stay where they are."""
 
     @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
-        return texts.map(model.score, na_action=None).astype("float64")
+    @lean
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield texts.map(model.score, na_action=None).astype("float64")
 
     return scored(text)

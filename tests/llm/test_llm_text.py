@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import regex
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgerloom.llm import bpe, fingerprints, jaccard, linededup, pii, shingles, suffixes
@@ -298,3 +299,39 @@ def test_bpe_tables_travel_small_and_forget():
         assert len(sent.names) and sent.decode(want[1]) == "".join(texts)
         sent.forget()
         assert not len(sent.names) and not len(sent.flat) and "rank" not in vars(sent)
+
+
+def test_workers_get_rows_in_small_batches(spark):
+    """Texts reach workers a few MB at a time after any of the three operators, and jaccard takes few of them at once."""
+    import zlib
+
+    import pyarrow as pa
+
+    from ledgerloom.llm.common import SLICE_BYTES
+
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.createDataFrame([(1, "one two three"), (2, "one two three"), (3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    wide = spark.range(0, 2000, 1, 1).select("id", F.repeat(F.lit("word "), 1600).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows], "bytes": [batch.nbytes]})
+
+    tokenizer = open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read()
+    for operator in (lambda: jaccard.join(docs), lambda: toxicity.fit(docs, labels), lambda: bpe.round_trip(docs, tokenizer)):
+        spark.conf.unset(setting)
+        operator()
+        found = wide.mapInArrow(sizes, "rows long, bytes long").collect()
+        assert sum(r.rows for r in found) == 2000
+        assert max(r.bytes for r in found) < 2 * SLICE_BYTES
+    spark.conf.set(setting, "1m")  # what the session says holds
+    jaccard.join(docs)
+    assert spark.conf.get(setting) == "1m"
+    spark.conf.unset(setting)
+
+    text = b"some words " * 10_000
+    rows = pa.RecordBatch.from_pydict({"key": list(range(20)), "packed": [zlib.compress(text)] * 20})
+    slices = [texts for _, texts in jaccard.unpacked(iter([rows]))]
+    assert sum(map(len, slices)) == 20
+    assert max(sum(map(len, texts)) for texts in slices) < SLICE_BYTES // 2
