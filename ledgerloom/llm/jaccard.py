@@ -57,7 +57,7 @@ PAIRS = 1 << 19
 DEALT_ROWS = 1_000_000
 #: Listed postings in one batch.
 LISTED_ROWS = 50_000
-#: Texts whose shingles are worked out in one go: numpy holds some fifty times their size meanwhile.
+#: Texts whose shingles are worked out in one go: numpy holds many times their size meanwhile.
 TEXT_BYTES = SLICE_BYTES // 4
 FAR = 1 << 40
 
