@@ -230,6 +230,20 @@ def test_codes(rows):
     assert names.count() == 3 and left_over.last == 8
 
 
+def test_codes_into_the_prefix(rows):
+    """Past the digits of its frame a number takes letters of the prefix, and whoever profiles such codes goes on from them."""
+    frame = codes.CodeFrame("id", 2, 97, into_prefix=True)
+    new = rows("n int", [(i,) for i in range(905)])
+    coded, left_over = codes.take_codes(frame, new, ["n"], "c")
+    got = [c for _, c in sorted(coded.collect())]
+    assert got == ["id98", "id99", *[f"i{i}" for i in range(100, 1000)], "1000", "1001", "1002"] and left_over.last == 1002
+    assert bag(codes.allocate_codes(coded.filter("n < 700"), "c", rows("k int", [(1,)]), ["k"])) == [(1, "i798")]
+    with pytest.raises(OverflowError):
+        frame.after(9903)
+    with pytest.raises(OverflowError):
+        codes.take_codes(codes.CodeFrame("id", 2, 97), new, ["n"], "c")
+
+
 def test_join_key_parts_do_not_run_together(rows):
     df = rows("a string, b string", [("x", "1y"), ("x1", "y"), (None, "y"), ("x", None)])
     assert df.select(skew.join_key("a", "b").alias("k")).filter("k is not null").distinct().count() == 2

@@ -237,3 +237,24 @@ def test_members_name_their_firm(spark):
     assert members.count() > 100 and not broken.filter("n > 0 and rule <> 'width'").count()
     lost = {r["reason"]: r["n"] for r in found.rejects["members"].collect()}
     assert lost["no corporate_entity"] > 0
+
+
+def test_agents_past_six_digits(spark, tables, monkeypatch):
+    """A million agents and more: codes go on with eight places, and every table names the same agents as with fewer."""
+    from ledgerloom.plans.agents import resolve_agents
+
+    monkeypatch.setattr("ledgerloom.plans.agents.AGENT_PREFIX", "id99")
+    src = dict(sources(spark))
+    for name in ("people", "clients_people", "people_professions"):
+        src[name] = src[name].replace("id0009", "id9995", ["person_code"])
+    found = resolve_agents(src, tables).tables
+    few, many = ([c for (c,) in get(t["agent"], "agent_code")] for t in (tables, found))
+    new = [*[f"id{i}" for i in range(999996, 1000000)], *[f"i{i}" for i in range(1000000, 1000007)]]
+    assert few[3:] == [f"id{i:06d}" for i in range(10, 21)] and set(many) == {"id990001", "id990002", "id999995", *new}
+    code = dict(zip(few, ["id990001", "id990002", "id999995", *new]))
+    wanted = {"agent": ["name", "sex", "corporate_entity", "notes"], "stn_client_agent": ["client_code"], "agent_address": ["place_code", "address"]}
+    for name, columns in wanted.items():
+        assert get(found[name], "agent_code", *columns) == sorted(
+            ((code.get(c), *rest) for c, *rest in get(tables[name], "agent_code", *columns)), key=repr), name
+    wide = audit_all({name: found[name] for name in wanted}).filter("rule = 'width' and column = 'agent_code'")
+    assert not wide.count()
